@@ -61,8 +61,9 @@ def statistics(docs: DataFrame, id_: str, text: str, common: Iterable[str]) -> D
     low = F.lower("t")
     count = lambda p, c=F.col("t"): F.regexp_count(c, F.lit(p))
     gone = lambda p, c=F.col("t"): F.length(c) - F.length(F.regexp_replace(c, p, ""))
-    d = d.select(
-        "id", "t",
+    # a generator is evaluated once a row: no later filter or projection repeats the scans of the text
+    once = F.struct(
+        F.col("t").isNotNull().alias("there"),
         F.length("t").alias("n_chars"),
         gone(r"\S++").alias("ink"),
         count(r"(?m)^[ \t]*+\S").alias("n_lines"),
@@ -82,6 +83,7 @@ def statistics(docs: DataFrame, id_: str, text: str, common: Iterable[str]) -> D
         count(r"[.?!…]").alias("n_ends"),
         count(r"[,;|/#]").alias("n_separators"),
     )
+    d = d.select("id", F.inline(F.array(once)))
     n_lines, ink = F.col("n_lines"), F.col("ink")
     fresh = _share(F.col("n_fresh"), n_lines - 1)
     # a text of one to few lines that never ends a sentence but keeps separating is a list within the line
@@ -102,7 +104,7 @@ def statistics(docs: DataFrame, id_: str, text: str, common: Iterable[str]) -> D
         fresh.alias("fresh_line_share"),
         F.greatest(_share(F.col("entry"), F.col("n_chars") - n_lines), F.when((n_lines >= 2) & (fresh > 0.6) & (F.col("n_ends") * 4 <= n_lines), fresh).otherwise(0.0), F.when(inline, 1.0).otherwise(0.0)).alias("entry_share"),
     )
-    return d.select("id", F.when(F.col("t").isNotNull(), st).alias("st"), (ink > 0).alias("has_text"))
+    return d.select("id", F.when(F.col("there"), st).alias("st"), (ink > 0).alias("has_text"))
 
 
 def judge(docs: DataFrame, id_: str, text: str, common: Iterable[str], rules: dict[str, tuple[str, str, float, int]] = RULES) -> DataFrame:
