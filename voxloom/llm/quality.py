@@ -42,6 +42,19 @@ ENTRY_LINES = (
 _ENTRY = r"(?m)^(?:" + "|".join(f"(?:{x})" for x in ENTRY_LINES) + ")$"
 _LETTER = r"\p{L}\p{M}"
 _WORD = rf"[{_LETTER}]++"
+_CONSONANT = "[bcdfghjklmnpqrstvwxz]"
+
+
+def _trie(words: list[str]) -> str:
+    """A pattern for any of ``words`` that reads each letter once."""
+    tails: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            tails.setdefault(w[0], []).append(w[1:])
+    if not tails:
+        return ""
+    each = "|".join(("\\" + c if not c.isalnum() else c) + _trie(t) for c, t in sorted(tails.items()))
+    return f"(?:{each})" + ("?+" if "" in words else "")
 
 
 def _share(a: Column, b: Column) -> Column:
@@ -70,16 +83,16 @@ def statistics(docs: DataFrame, id_: str, text: str, common: Iterable[str]) -> D
         count(_WORD).alias("n_words"),
         gone(rf"[{_LETTER}]++").alias("letters"),
         gone(r"\p{N}++").alias("digits"),
-        (count(rf"(?<![{_LETTER}])(?:" + "|".join(words) + rf")(?![{_LETTER}])", low) if words else F.lit(0)).alias("n_common"),
+        (count(rf"(?<![{_LETTER}]){_trie(words)}(?![{_LETTER}])", low) if words else F.lit(0)).alias("n_common"),
         count(r"(?m)[.?!…][”\"')\]]?[ \t]*+$").alias("n_terminal"),
         count(rf"(?m)^[ \t]*+{_MARK}[ \t]").alias("n_bullet"),
         gone(_ENTRY).alias("entry"),
         # a line that starts anew although the one before did not end: broken prose seldom, a list always
-        count(r"[^\s.?!…,:;”\"][ \t]*+\n\s*+(?=\p{Lu})").alias("n_fresh"),
-        count(r"(?<=\p{L})[^\p{L}\p{M}\p{N}\s'’_]{1,3}+(?=\p{L})|(?<=\p{L})[\\#$%^&*=+|~@](?=\s)|(?<=\s)[\\#$%^&*=+|~@](?=\p{L})").alias("n_torn"),
+        count(r"\n\s*+(?=\p{Lu})(?<=[^\s.?!…,:;”\"][ \t]{0,4}\n\s{0,8})").alias("n_fresh"),
+        count(r"[^\p{L}\p{M}\p{N}\s'’_](?=\p{L})(?<=\p{L}[^\p{L}\s]{1,3})|[\\#$%^&*=+|~@](?:(?=\s)(?<=\p{L}.)|(?=\p{L})(?<=\s.))").alias("n_torn"),
         gone(r"[^\s_]{25,}+").alias("long"),
         gone(r"[\u0080-\u009f¡-©«¬®-¹»-¿×÷�]++").alias("moji"),
-        count(r"(?i)(?<![a-z])[a-z]*?(?:[bcdfghjklmnpqrstvwxz]{5,}|(?<![a-z])(?!ngh|thr|str|scr|spr|spl|sch|shr|chr|phr)[bcdfghjklmnpqrstvwxz]{3})[a-z;\[\]]*+").alias("n_cluster"),
+        count(rf"{_CONSONANT}{{5,}}+|{_CONSONANT}{{3}}+(?<=(?<!\p{{L}})...)(?<!ngh|thr|str|scr|spr|spl|sch|shr|chr|phr)").alias("n_cluster"),
         count(r"[.?!…]").alias("n_ends"),
         count(r"[,;|/#]").alias("n_separators"),
     )
