@@ -6,6 +6,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from voxloom.settings import Cleaning
 
@@ -16,7 +17,7 @@ EMOJI = "\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}\\x{FE00}-\\x{FE0F}"
 SPACE = "\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Canonical composition; text that is composed already passes unchanged."""
     return s.map(lambda t: t if t is None or t.isascii() or unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t))

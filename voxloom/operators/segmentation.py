@@ -159,9 +159,11 @@ def segments(features: DataFrame, cfg: Segmentation = Segmentation(), spans: Spa
 def candidates(words: DataFrame, cfg: Segmentation = Segmentation(), spans: Spans = Spans()) -> DataFrame:
     """One row per segment: padded and raw times, text, words, mean log-probability, score and reasons of its boundary."""
     lo, hi = spans.min_sec, min(spans.max_sec, cfg.semantic_max_sec)
+    # the mean of log-probabilities of four decimals, exact and rounded half up
+    lp = F.sum(F.round(F.col("logprob") * 10000).cast("bigint"))
     g = words.groupBy("file_id", "region", "segment").agg(
         F.min_by("start", "pos").alias("raw_start"), F.max_by("end", "pos").alias("raw_end"), F.sort_array(F.collect_list(F.struct("pos", "text", "index"))).alias("w"),
-        F.count_if(K.has_word(F.col("text"))).alias("word_count"), F.round(F.avg("logprob"), 4).alias("avg_logprob"), F.first("selected_speaker").alias("speaker_id"), F.first("boundary_score").alias("boundary_score"),
+        F.count_if(K.has_word(F.col("text"))).alias("word_count"), (F.floor((2 * lp + F.count("logprob")) / (2 * F.count("logprob"))) / 10000).alias("avg_logprob"), F.first("selected_speaker").alias("speaker_id"), F.first("boundary_score").alias("boundary_score"),
         F.max_by(F.struct("base_reasons", "protections", "is_final"), "pos").alias("at"),
     )
     d = F.col("raw_end") - F.col("raw_start")
@@ -222,7 +224,7 @@ def validate(cands: DataFrame, tokens: DataFrame, cfg: Segmentation = Segmentati
     ]
     found = F.array_compact(F.array(*[F.when(c_, F.lit(n_)) for c_, n_ in rules], F.col("speaker_overlap")))
     reasons = F.when(F.col("boundary_score").isNull(), F.array(F.lit("no_safe_semantic_boundary"))).otherwise(F.array_sort(found))
-    return c.drop("audio_event_overlap", "speaker_overlap", "risky_leading", "risky_trailing").withColumn("reject_reasons", reasons)
+    return c.withColumn("reject_reasons", reasons).drop("audio_event_overlap", "speaker_overlap", "risky_leading", "risky_trailing")
 
 
 def build(tokens: DataFrame, target: DataFrame, cfg: Segmentation = Segmentation(), spans: Spans = Spans()) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from voxloom.operators.gate import reasons
 from voxloom.settings import Signal
@@ -37,7 +38,7 @@ def level_metrics(samples: Column, rate: Column, cfg: Signal = Signal()) -> dict
     }
 
 
-@F.pandas_udf("spectral_flatness double, high_freq_energy_ratio double")
+@F.pandas_udf(StructType([StructField("spectral_flatness", DoubleType()), StructField("high_freq_energy_ratio", DoubleType())]))
 def spectrum(samples: pd.Series, rate: pd.Series) -> pd.DataFrame:
     """Flatness and share of magnitude from 5 kHz on, over the first two seconds under a Hann window; zeros below 16 samples."""
     out = np.zeros((len(samples), 2))

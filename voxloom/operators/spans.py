@@ -23,9 +23,8 @@ def merge_short(spans: DataFrame, cfg: Spans = Spans()) -> DataFrame:
 
     A span shorter than ``min_sec`` takes the next one while the gap is at most
     ``merge_gap_sec`` and both together are at most ``max_sec``; the end is the
-    later span's end. A span can only take its successor if the gap allows it,
-    so each file is cut where it does not: the fold runs over those pieces in a
-    sorted stream that holds one span at a time, however long the file is.
+    later span's end. The fold runs over sorted streams and holds one span at a
+    time, however many a file has; files are spread over the tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +72,8 @@ def number(segments: DataFrame, cfg: Spans = Spans()) -> DataFrame:
     d = F.col("end") - F.col("start")
     kept = segments.where((d >= cfg.min_sec) & (d <= cfg.max_sec))
     no = F.row_number().over(W.partitionBy("file_id").orderBy("start", "end"))
-    s, e = F.round("start", 3), F.round("end", 3)
+    # decimal ties, which halves of chunks often are, go up whatever their binary form
+    s, e = F.round(F.col("start") + 1e-9, 3), F.round(F.col("end") + 1e-9, 3)
     return kept.select("file_id", F.lpad(no.cast("string"), 6, "0").alias("id"), s.alias("start"), e.alias("end"), F.round(F.greatest(F.lit(0.0), e - s), 3).alias("duration"), "source")
 
 

@@ -92,7 +92,7 @@ def speaker_stats(tokens: DataFrame, cfg: Segmentation = Segmentation()) -> Data
     per = ranked.groupBy("file_id", "speaker_id").agg(F.count(F.lit(1)).alias("turn_count"), F.sum(F.round(F.col("duration") * 1000).cast("bigint")).alias("turn_ms"), three.alias("s"))
     s = base.join(per, ["file_id", "speaker_id"], "left")
     total = F.sum("ms").over(W.partitionBy("file_id"))
-    return s.select("file_id", "speaker_id", (F.col("ms") / 1000).alias("duration_seconds"), F.round(F.col("ms") / F.greatest(total, F.lit(1)), 4).alias("share"), "word_count", F.coalesce("turn_count", F.lit(0)).alias("turn_count"), F.round(F.coalesce(F.col("turn_ms") / F.col("turn_count") / 1000, F.lit(0.0)), 3).alias("average_turn_duration_seconds"), "first_start", "last_end", F.filter(F.transform("s", lambda x: x["text"]), lambda x: x != "").alias("sample_utterances"))
+    return s.select("file_id", "speaker_id", (F.col("ms") / 1000).alias("duration_seconds"), F.round(F.col("ms") / F.greatest(total, F.lit(1)), 4).alias("share"), "word_count", F.coalesce("turn_count", F.lit(0)).alias("turn_count"), F.coalesce(F.floor((2 * F.col("turn_ms") + F.col("turn_count")) / (2 * F.col("turn_count"))) / 1000, F.lit(0.0)).alias("average_turn_duration_seconds"), "first_start", "last_end", F.filter(F.transform("s", lambda x: x["text"]), lambda x: x != "").alias("sample_utterances"))
 
 
 def inspection(tokens: DataFrame, counts: DataFrame, cfg: Segmentation = Segmentation()) -> DataFrame:

@@ -78,7 +78,7 @@ def json_safe(x: Any) -> Any:
 # --- WAV --------------------------------------------------------------------------------------------------------
 
 
-@F.pandas_udf("rate int, channels int, bits int, frames bigint, duration double, error string")
+@F.pandas_udf(Ty.StructType([Ty.StructField("rate", Ty.IntegerType()), Ty.StructField("channels", Ty.IntegerType()), Ty.StructField("bits", Ty.IntegerType()), Ty.StructField("frames", Ty.LongType()), Ty.StructField("duration", Ty.DoubleType()), Ty.StructField("error", Ty.StringType())]))
 def wav_header(content: pd.Series) -> pd.DataFrame:
     """What a WAV file says of itself; nulls and ``error`` if it is none."""
     out = []
@@ -91,7 +91,7 @@ def wav_header(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["rate", "channels", "bits", "frames", "duration", "error"]).astype({"rate": "Int32", "channels": "Int32", "bits": "Int32", "frames": "Int64"})
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(Ty.ArrayType(Ty.FloatType()))
 def wav_samples(content: pd.Series) -> pd.Series:
     """Mono samples in [-1, 1) of a 16-bit WAV: channels are averaged; null if it is none."""
 
