@@ -138,7 +138,7 @@ def parse_metadata(lines: DataFrame, line: str = "line") -> DataFrame:
     A line without a bar, a name that is empty or holds a path, or an empty text is an error.
     """
     p = F.split(F.col(line), "\\|", 2)
-    name, text = T.strip(p[0]), p[1]
+    name, text = T.strip(F.get(p, 0)), F.get(p, 1)
     bad = (F.size(p) < 2) | (name == "") | name.rlike(r"[/\\]") | (T.strip(text) == "")
     checked = F.when(F.coalesce(bad, F.lit(True)), F.raise_error(F.concat(F.lit("not a metadata line: "), F.coalesce(line, F.lit("null")))).cast("string")).otherwise(name)
     return lines.select(checked.alias("name"), text.alias("text"))

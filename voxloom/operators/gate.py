@@ -10,7 +10,9 @@ from voxloom.settings import Cleaning, Gate
 
 def cleaned(df: DataFrame, cfg: Cleaning = Cleaning(), text: str = "text") -> DataFrame:
     """Adds cleaned_text, is_empty_after_cleaning and cleaning_changed_text; a null text counts as empty."""
-    return df.withColumn("cleaned_text", T.clean(F.col(text), cfg)).withColumns(
+    # a generator is evaluated once a row: the many uses of the cleaned text do not repeat the cleaning
+    df = df.select("*", F.inline(F.array(F.struct(T.clean(F.col(text), cfg).alias("cleaned_text")))))
+    return df.withColumns(
         {"is_empty_after_cleaning": F.col("cleaned_text") == "", "cleaning_changed_text": F.col("cleaned_text") != F.coalesce(F.col(text), F.lit(""))}
     )
 

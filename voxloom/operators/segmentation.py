@@ -102,7 +102,7 @@ def walk(start: list[float], end: list[float], base: list[float], final: list[bo
             d = end[j] - start[i]
             r = round(d, 3)
             if closed[j] and not guarded[j] and not (d < lo and not cfg.allow_short_clips) and not (d > hi and not final[j]):
-                s = round(base[j] + _length_score(d, cfg, lo, hi)[0], 3)
+                s = round(base[j] + _length_score(d, cfg, lo, hi)[0] + 1e-9, 3)  # decimal ties go up
                 bucket = 0 if cfg.preferred_min_sec <= r <= cfg.preferred_max_sec else 1 if cfg.preferred_max_sec < r <= hi else 2 if r > hi and final[j] else 3 if lo <= r < cfg.preferred_min_sec else None
                 if s >= cfg.min_boundary_score and bucket is not None and (best is None or (-bucket, s, r) > best[:3]):
                     best = (-bucket, s, r, j)

@@ -102,12 +102,10 @@ def inspection(tokens: DataFrame, counts: DataFrame, cfg: Segmentation = Segment
     return counts.join(t, "file_id", "left").select("file_id", F.coalesce("total_timestamped_tokens", F.lit(0)).alias("total_timestamped_tokens"), F.col("invalid").alias("invalid_word_count"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("speaker_count", "missing_speaker_word_count", "audio_event_count")])
 
 
-def input_keys(file_id: str) -> list[str]:
-    """Spellings of an input under which a target speaker may be configured, most specific first."""
-    import posixpath
-
-    name = posixpath.basename(file_id.replace("\\", "/"))
-    return list(dict.fromkeys([file_id, file_id.replace("\\", "/"), name, name.rsplit(".", 1)[0] if "." in name.lstrip(".") else name, posixpath.normpath(file_id)]))
+def stem_of(path: str) -> str:
+    """The file name of a path without its last suffix."""
+    name = path.replace("\\", "/").rsplit("/", 1)[-1]
+    return name.rsplit(".", 1)[0] if "." in name[1:] else name
 
 
 def select_target(stats: DataFrame, cfg: Segmentation = Segmentation(), missing: DataFrame | None = None) -> DataFrame:
@@ -126,18 +124,18 @@ def select_target(stats: DataFrame, cfg: Segmentation = Segmentation(), missing:
     chosen = F.lit(None).cast("string")
     if cfg.per_file_target_speakers:
         m = F.create_map(*[F.lit(x) for kv in cfg.per_file_target_speakers.items() for x in kv])
-        stem = F.create_map(*[F.lit(x) for k, v in cfg.per_file_target_speakers.items() for x in (input_keys(k)[-2] if len(input_keys(k)) > 1 else k, v)])
+        stem = F.create_map(*[F.lit(x) for k, v in cfg.per_file_target_speakers.items() for x in (stem_of(k), v)])
         chosen = F.coalesce(*[F.element_at(m, k) for k in spellings], F.element_at(stem, spellings[-1]))
     wanted = F.coalesce(chosen, F.lit(default))
     by = W.partitionBy("file_id")
     s = stats.withColumn("wanted", wanted)
     rank = F.row_number().over(by.orderBy(F.col("duration_seconds").desc(), F.col("word_count").desc(), "speaker_id"))
-    s = s.withColumns({"pick": F.when(F.col("wanted").isNotNull(), F.col("speaker_id") == F.col("wanted")).otherwise(rank == 1), "source": F.when(chosen.isNotNull(), "per_file").when(F.col("wanted").isNotNull(), "default").otherwise("auto")})
+    s = s.withColumn("rank", rank).withColumns({"pick": F.when(F.col("wanted").isNotNull(), F.col("speaker_id") == F.col("wanted")).otherwise(F.col("rank") == 1), "source": F.when(chosen.isNotNull(), "per_file").when(F.col("wanted").isNotNull(), "default").otherwise("auto")})
     s = s.withColumns({"picked": F.max("pick").over(by), "best_other": F.max(F.when(~F.col("pick"), F.col("share"))).over(by)})
     problem = F.when(~F.col("picked"), F.concat(F.lit("configured target speaker was not found in "), "file_id"))
     if mode == "manual" or cfg.require_manual_speaker:
         problem = F.coalesce(problem, F.when(F.col("wanted").isNull(), F.concat(F.lit("no target speaker is configured for "), "file_id")))
-    s = s.withColumn("share", F.when(problem.isNotNull(), F.raise_error(problem).cast("double")).otherwise(F.col("share"))).where("pick")
+    s = s.withColumn("share", F.when(problem.isNotNull(), F.raise_error(problem).cast("double")).otherwise(F.col("share"))).where(F.col("pick") | (~F.col("picked") & (F.col("rank") == 1)))
     lost = F.lit(False)
     if missing is not None:
         m = missing.select(F.col("file_id").alias("_f"), F.col("missing_speaker_word_count").alias("_m"))

@@ -28,7 +28,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 _SPANS = """
 WITH p AS (SELECT file_id, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM vad_segments
-           WHERE start IS NOT NULL AND "end" IS NOT NULL AND NOT isnan(start) AND NOT isnan("end")),
+           WHERE isfinite(start) AND isfinite("end")),
 r AS (SELECT file_id, s, e, max(e) OVER (PARTITION BY file_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM p WHERE e > s)"""
 
 
@@ -249,7 +249,7 @@ _WALK = _FEATURES + """,
 sx AS (SELECT a.file_id, a.region, a.pos AS i, min(b.pos) AS stop FROM fe a JOIN fe b ON a.file_id = b.file_id AND a.region = b.region AND b.pos >= a.pos AND b.fin AND round(b.e - a.s, 3) > 15 GROUP BY 1, 2, 3),
 pr AS (SELECT a.file_id, a.region, a.pos AS i, b.pos AS j, b.e - a.s AS d, round(b.e - a.s, 3) AS r, b.base, b.fin FROM fe a LEFT JOIN sx ON a.file_id = sx.file_id AND a.region = sx.region AND a.pos = sx.i
        JOIN fe b ON a.file_id = b.file_id AND a.region = b.region AND b.pos >= a.pos AND b.pos <= coalesce(sx.stop, 1000000000) WHERE (b.fin OR NOT b.hr) AND len(b.guards) = 0),
-sc AS (SELECT *, round(base + CASE WHEN d BETWEEN 5 AND 10 THEN 3 + greatest(0, 2 - abs(d - 7.5) * 0.35) WHEN d > 10 AND d <= 15 THEN 1 WHEN d >= 3 AND d < 5 THEN -1 ELSE 0 END, 3) AS score,
+sc AS (SELECT *, round(base + CASE WHEN d BETWEEN 5 AND 10 THEN 3 + greatest(0, 2 - abs(d - 7.5) * 0.35) WHEN d > 10 AND d <= 15 THEN 1 WHEN d >= 3 AND d < 5 THEN -1 ELSE 0 END + 1e-9, 3) AS score,
        CASE WHEN r BETWEEN 5 AND 10 THEN 0 WHEN r > 10 AND r <= 15 THEN 1 WHEN r > 15 AND fin THEN 2 WHEN r >= 3 AND r < 5 THEN 3 END AS bucket FROM pr WHERE d >= 3 AND (d <= 15 OR fin)),
 be AS (SELECT file_id, region, i, j, score FROM (SELECT *, row_number() OVER (PARTITION BY file_id, region, i ORDER BY bucket, score DESC, r DESC, j) AS n FROM sc WHERE score >= 7 AND bucket IS NOT NULL) WHERE n = 1),
 ra AS (SELECT file_id, region, max(pos) AS z FROM fe GROUP BY 1, 2),
@@ -308,7 +308,7 @@ def segmentation_report(spark: SparkSession, sf: str) -> DataFrame:
 # --- segments of spans ------------------------------------------------------------------------------------------
 
 _VALID = """
-v AS (SELECT DISTINCT file_id, start AS s, "end" AS e FROM vad_segments WHERE NOT isnan(start) AND NOT isnan("end") AND NOT isinf(start) AND NOT isinf("end") AND start >= 0 AND "end" > start),
+v AS (SELECT DISTINCT file_id, start AS s, "end" AS e FROM vad_segments WHERE isfinite(start) AND isfinite("end") AND start >= 0 AND "end" > start),
 o AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY s, e) AS n FROM v)"""
 # A fold in recursion: one step a span, carrying the segment that is open.
 _MERGE = "WITH RECURSIVE " + _VALID.strip() + """,
@@ -422,7 +422,7 @@ def quality_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH u AS (UNPIVOT (SELECT """ + ", ".join(signal.METRICS) + """ FROM quality_metrics) ON COLUMNS(*) INTO NAME metric VALUE value),
-v AS (SELECT metric, list_sort(list(value)) AS l, count(*) AS n, sum(CAST(round(value * 1000000) AS HUGEINT)) AS s FROM u WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1)
+v AS (SELECT metric, list_sort(list(value)) AS l, count(*) AS n, sum(CAST(round(value * 1000000) AS HUGEINT)) AS s FROM u WHERE isfinite(value) GROUP BY 1)
 SELECT metric, round(l[1], 6) AS min, round(l[1 + CAST(round_even((n - 1) * 0.5, 0) AS BIGINT)], 6) AS p50, round(l[1 + CAST(round_even((n - 1) * 0.9, 0) AS BIGINT)], 6) AS p90, round(l[1 + CAST(round_even((n - 1) * 0.95, 0) AS BIGINT)], 6) AS p95, round(l[n], 6) AS max FROM v""")
 def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
     return signal.metric_summary(table(spark, sf, "quality_metrics"), list(signal.METRICS)).drop("avg")

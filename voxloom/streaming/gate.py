@@ -11,6 +11,7 @@ from voxloom.settings import Cleaning, Gate
 
 def decisions(stream: DataFrame, clean: Cleaning = Cleaning(), cfg: Gate = Gate(), late: str = "3 days") -> DataFrame:
     """Decisions of a stream of raw transcripts; copies that arrive within ``late`` of each other count once."""
+    stream = stream.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))  # a watermark wants a zone
     once = stream.withWatermark("ingested_at", late).dropDuplicatesWithinWatermark(["id", "text"])
     return gate.decisions(gate.cleaned(once, clean), cfg, extra=("source_folder", "ingested_at"))
 
