@@ -162,7 +162,7 @@ def _table() -> dict[int, str]:
 
 
 def fold(text: str) -> str:
-    """The composed plain form of ``text``; spaces are left as they are but for their kind."""
+    """The composed plain form of ``text``; spaces are left as they are."""
     if _PLAIN.fullmatch(text):
         return text
     t = _INVISIBLE.sub("", text).translate(_table())

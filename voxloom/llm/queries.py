@@ -203,7 +203,7 @@ SELECT DISTINCT a.table_name, a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.
 _P6 = r"""
 WITH fw AS (SELECT string_agg(DISTINCT regexp_replace(lower(nfc_normalize(filler)), '(.)', '\1+', 'g'), '|') AS x FROM filler_words),
 r AS (SELECT DISTINCT file_id, "index" AS i, start AS a, "end" AS b, lower({folded}) AS t, type, speaker_id FROM stt_words
-      WHERE start IS NOT NULL AND "end" IS NOT NULL AND NOT isnan(start) AND NOT isnan("end") AND "end" > start),
+      WHERE isfinite(start) AND isfinite("end") AND "end" > start),
 k AS (SELECT *, nullif(regexp_extract(t, '^(?:>+ ?)?[\[<({]? ?(?:v )?(?:speaker|spk|s|người nói)[ _.\-]*0*(\d+) ?[\])>}]? ?[:\-–]?$', 1), '') AS lab,
       CASE WHEN coalesce(t, '') = '' THEN 'blank'
            WHEN regexp_matches(t, '^[\[(<{]?(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?[\])>}]?(?: ?-->.*)?$|^-->') THEN 'time'
