@@ -51,12 +51,12 @@ def clean(text: Column, cfg: Cleaning = Cleaning()) -> Column:
 
 def word_count(text: Column) -> Column:
     """Runs of anything but white space."""
-    return F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
+    return F.regexp_count(text, F.lit(f"[^{SPACE}]++"))
 
 
 def unusual_symbol_ratio(text: Column) -> Column:
     """Share of characters outside letters, digits, white space, common punctuation and quotes."""
-    odd = F.length(F.regexp_replace(text, f"[\\p{{L}}\\p{{N}}_{SPACE}\\x{{c0}}-\\x{{1ef9}}{KEPT_MARKS}“”‘’`´]+", ""))
+    odd = F.length(F.regexp_replace(text, f"[\\p{{L}}\\p{{N}}_{SPACE}\\x{{c0}}-\\x{{1ef9}}{KEPT_MARKS}“”‘’`´]++", ""))
     return odd / F.greatest(F.length(text), F.lit(1))
 
 

@@ -39,10 +39,12 @@ def decisions(df: DataFrame, cfg: Gate = Gate(), has_audio: Column | None = None
     t = F.coalesce(F.col("cleaned_text"), F.lit(""))
     logprob, no_speech = T.finite(optional("avg_logprob", "double")), T.finite(optional("no_speech_prob", "double"))
     duration = T.finite(F.col("duration"))
-    words = T.word_count(t)
+    once = F.struct(T.word_count(t).alias("_words"), (F.lit(None).cast("double") if cfg.max_unusual_symbol_ratio is None else T.unusual_symbol_ratio(t)).alias("_odd"))
+    df = df.select("*", F.inline(F.array(once)))
+    words = F.col("_words")
     say = [(t == "", "empty_cleaned_text"), (F.coalesce(optional("is_empty_after_cleaning", "boolean"), F.lit(False)), "marked_empty_after_cleaning"), (words < cfg.min_words, "word_count_too_low")]
     if cfg.max_unusual_symbol_ratio is not None:
-        say.append(((t != "") & (T.unusual_symbol_ratio(t) > cfg.max_unusual_symbol_ratio), "too_many_unusual_symbols"))
+        say.append(((t != "") & (F.col("_odd") > cfg.max_unusual_symbol_ratio), "too_many_unusual_symbols"))
     if cfg.min_avg_logprob is not None:
         say.append((logprob < cfg.min_avg_logprob, "avg_logprob_too_low"))
     if cfg.max_no_speech_prob is not None:

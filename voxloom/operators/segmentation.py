@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from voxloom.functions import text as T
 from voxloom.operators import tokens as K
+from voxloom.runtime import durable
 from voxloom.settings import Segmentation, Spans
 
 # Words before which, or after which, a sentence does not end (Vietnamese).
@@ -229,7 +230,7 @@ def validate(cands: DataFrame, tokens: DataFrame, cfg: Segmentation = Segmentati
 
 def build(tokens: DataFrame, target: DataFrame, cfg: Segmentation = Segmentation(), spans: Spans = Spans()) -> DataFrame:
     """Validated candidates of all files."""
-    words = segments(boundary_features(regions(tokens, target, cfg), cfg), cfg, spans)
+    words = durable(segments(boundary_features(regions(tokens, target, cfg), cfg), cfg, spans), "segments")
     return validate(candidates(words, cfg, spans), tokens, cfg, spans)
 
 

@@ -55,23 +55,27 @@ def runs(tokens: DataFrame, keep: Column, who: Column, max_gap: float, shard_sec
     """
     t = tokens.withColumns({"_shard": F.floor(F.col("start") / shard_sec), "_keep": F.coalesce(keep & who.isNotNull(), F.lit(False)), "_who": who})
     by = W.partitionBy("file_id", "_shard").orderBy(*ORDER)
-    here = F.struct("_keep", "_who", F.col("end").alias("_end"))
-    t = t.withColumn("_before", F.lag(here).over(by))
-    last = t.groupBy("file_id", "_shard").agg(F.max_by(here, F.struct(*ORDER)).alias("_last"))
-    carried = last.select("file_id", "_shard", F.lag("_last").over(W.partitionBy("file_id").orderBy("_shard")).alias("_carry"))
-    t = _with(t, carried).withColumn("_before", F.coalesce("_before", "_carry"))
-    gap = F.greatest(F.lit(0.0), F.col("start") - F.col("_before._end"))
-    goes_on = F.coalesce(F.col("_before._keep") & (F.col("_before._who") == F.col("_who")) & (gap <= max_gap), F.lit(False))
-    t = t.withColumn("_new", F.when(F.col("_keep") & ~goes_on, 1).otherwise(0))
-    begun = t.groupBy("file_id", "_shard").agg(F.sum("_new").alias("_n"))
-    begun = begun.select("file_id", "_shard", F.coalesce(F.sum("_n").over(W.partitionBy("file_id").orderBy("_shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    t = _with(t, begun).withColumn("run", F.col("_off") + F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, 0)))
-    return t.where("_keep").drop("_shard", "_keep", "_who", "_before", "_carry", "_new", "_off")
-
-
-def _with(t: DataFrame, per_shard: DataFrame) -> DataFrame:
-    p = per_shard.withColumnsRenamed({"file_id": "_f", "_shard": "_s"})
-    return t.join(p, t.file_id.eqNullSafe(p._f) & t._shard.eqNullSafe(p._s), "left").drop("_f", "_s")
+    at = F.struct(*ORDER)
+
+    def begins(before: str, here: str = "") -> Column:
+        """1 if the token begins a run, given the one before it."""
+        gap = F.greatest(F.lit(0.0), F.col(f"{here}start") - F.col(f"{before}._end"))
+        goes_on = F.coalesce(F.col(f"{before}._keep") & (F.col(f"{before}._who") == F.col(f"{here}_who")) & (gap <= max_gap), F.lit(False))
+        return F.when(F.col(f"{here}_keep") & ~goes_on, 1).otherwise(0)
+
+    t = t.withColumn("_before", F.lag(F.struct("_keep", "_who", F.col("end").alias("_end"))).over(by))
+    # the first token of a shard has its predecessor in an earlier one: that is settled on the summaries
+    t = t.withColumn("_new", F.when(F.col("_before").isNull(), 0).otherwise(begins("_before")))
+    per = t.groupBy("file_id", "_shard").agg(
+        F.min_by(F.struct("_keep", "_who", "start"), at).alias("_first"), F.max_by(F.struct("_keep", "_who", F.col("end").alias("_end")), at).alias("_last"), F.sum("_new").alias("_n")
+    )
+    order = W.partitionBy("file_id").orderBy("_shard")
+    per = per.withColumn("_carry", F.lag("_last").over(order)).withColumn("_head", begins("_carry", "_first."))
+    per = per.withColumn("_off", F.coalesce(F.sum(F.col("_n") + F.col("_head")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("_head"))
+    p = per.select(F.col("file_id").alias("_f"), F.col("_shard").alias("_s"), "_off")
+    t = t.withColumn("run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    t = t.join(p, t.file_id.eqNullSafe(p._f) & t._shard.eqNullSafe(p._s), "left").withColumn("run", F.col("run") + F.col("_off"))
+    return t.where("_keep").drop("_shard", "_keep", "_who", "_before", "_new", "_off", "_f", "_s")
 
 
 def turns(tokens: DataFrame, cfg: Segmentation = Segmentation()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voxloom.operators import intervals
-from voxloom.runtime import table
+from voxloom.runtime import durable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,7 +212,7 @@ rg AS (SELECT *, row_number() OVER (PARTITION BY file_id, region ORDER BY s, e,
 
 
 def _regions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    t = _tokens(spark, sf)
+    t = durable(_tokens(spark, sf), "tokens")  # read by the statistics, the regions and the checks of neighbours
     return t, segmentation.regions(t, tokens.select_target(tokens.speaker_stats(t)))
 
 
@@ -259,7 +259,7 @@ wk AS (SELECT ra.file_id, ra.region, 0::BIGINT AS i, coalesce(j, z) AS j, score,
 
 def _words_in_segments(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     t, r = _regions(spark, sf)
-    return t, segmentation.segments(segmentation.boundary_features(r))
+    return t, durable(segmentation.segments(segmentation.boundary_features(r)), "segments")
 
 
 @query(f"WITH RECURSIVE {_WALK.strip()} SELECT file_id, region, CAST(seg AS BIGINT) AS segment, CAST(i AS BIGINT) AS first_pos, CAST(j AS BIGINT) AS last_pos, score AS boundary_score FROM wk")
