@@ -64,7 +64,7 @@ def mapped(text: Column) -> Column:
     t = F.translate(F.regexp_replace(text, f"[{INVISIBLE}]+", ""), "".join(s), "".join(s.values()))
     t = _ordered(F.trim(F.regexp_replace(t, f"[{SPACE}]+", " ")))
     # almost all texts need none of this: one scan decides
-    odd = text.rlike("[^\\x20-\\x7e\\u00c0-\\u00cf\\u00d1-\\u00ff\\u0102\\u0103\\u0110\\u0111\\u0128\\u0129\\u0168\\u0169\\u01a0\\u01a1\\u01af\\u01b0\\u1ea0-\\u1ef9]")
+    odd = F.translate(text, _plain(), "") != ""
     spaced = F.contains(text, F.lit("  ")) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
     return F.when(odd | spaced, t).otherwise(text)
 
@@ -86,19 +86,17 @@ def _ordered(t: Column) -> Column:
 
 
 def skeleton(t: Column) -> Column:
-    """A key that is equal for all members of a class whatever their encoding: the mapped text without marks and vowels, hashed.
-
-    Letters that are composed here only on vowels (most texts) vanish with
-    them, so those texts need no table of base letters.
-    """
+    """A key that is equal for all members of a class whatever their encoding: the mapped text without marks, hashed."""
     base = _bases()
-    rare = t.rlike(f"[^\\x20-\\x7e{_VOWELS}]")
-    s = F.when(rare, F.translate(t, "".join(base), "".join(base.values()))).otherwise(t)
-    return F.xxhash64(F.regexp_replace(s, "[^\\x21-\\x7e]++|[aeiouyAEIOUY]++", ""))
+    s = F.translate(t, "".join(base), "".join(base.values()))
+    return F.xxhash64(F.regexp_replace(s, "[^\\x00-\\x7f]+", ""))
 
 
-#: Composed letters on vowels, and the stroked d that is never taken apart.
-_VOWELS = "À-ÃÈ-ÊÌÍÒ-ÕÙÚÝà-ãè-êìíò-õùúýĂăĐđĨĩŨũƠơƯưẠ-ỹ"
+@functools.cache
+def _plain() -> str:
+    """By rule: the characters of texts that need no mapping (ASCII, Latin letters composed or not, those of Vietnamese)."""
+    at = [*range(0x20, 0x7F), *range(0xC0, 0x100), 0x102, 0x103, 0x110, 0x111, 0x128, 0x129, 0x168, 0x169, 0x1A0, 0x1A1, 0x1AF, 0x1B0, *range(0x1EA0, 0x1EFA)]
+    return "".join(c for c in map(chr, at) if c not in single())
 
 
 @functools.cache
