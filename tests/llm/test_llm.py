@@ -100,6 +100,52 @@ def test_fuller_copy(spark):
     assert j["1"].early and j["1"].cut and not j["2"].early
 
 
+def test_early_ends_of_a_hot_group(spark):
+    """Every text of a bucket is checked: the same as all pairs that share a bucket, in one part or in many."""
+    from difflib import SequenceMatcher
+
+    def shingles(x):
+        return {tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))}
+
+    def ends_early(x, y):
+        a, b = shingles(x), shingles(y)
+        if len(a & b) < 0.8 * len(a | b) - 1e-9:
+            return False
+        if x == y[: len(x)]:
+            return len(y) > len(x)
+        if x[:-1] == y[: len(x) - 1] and len(y) >= len(x) and y[len(x) - 1].startswith(x[-1]):
+            return True
+        k = ([None] + SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()[:-1])[-1]
+        left, rest = (len(x) - k.a - k.size, len(y) - k.b - k.size) if k else (9, 0)
+        return rest > 0 if left == 0 else left == 1 and rest > 0 and y[k.b + k.size].startswith(x[-1]) and (rest > 1 or y[k.b + k.size] != x[-1])
+
+    r = random.Random(11)
+    words = ["".join(r.choices("abcdeghiklmnotu", k=5)) for _ in range(400)]
+    template = r.sample(words, 80)
+    docs = []
+    for i in range(300):
+        w = list(template)
+        w[r.randrange(80)] = r.choice(words)
+        if i % 10 == 0:
+            w = w[: -r.randint(1, 6)]
+            w[-1] = w[-1][: r.choice((2, 9))]
+        elif i % 10 == 1:
+            w += r.sample(words, r.randint(1, 3))
+        elif i % 10 == 2:
+            w.insert(r.randrange(20), r.choice(words) * 3)
+        docs.append(w)
+    texts = [" ".join(w) for w in docs]
+    df = spark.createDataFrame([(0, str(i), "s", t) for i, t in enumerate(texts)], "tbl int, id string, source string, text string")
+    rows = df.repartition(2).mapInArrow(truncation._read, truncation._SCHEMA).where("kind = 0").cache()
+    bands = {x.id: x.bands for x in rows.collect()}
+    meet = lambda i, j: any(a == b for a, b in zip(bands[str(i)], bands[str(j)]))
+    want = {str(i) for i, x in enumerate(docs) if any(i != j and texts[i] != texts[j] and meet(i, j) and ends_early(x, y) for j, y in enumerate(docs))}
+    assert len(want) >= 30
+    for part_chars in ((), (20_000,)):
+        got = {x.id for x in truncation.early_ends(rows, *part_chars).join(rows, ["k1", "k2"]).select("id").collect()}
+        assert got == want
+
+
 # 4 --------------------------------------------------------------------------------------------------------------
 
 

@@ -16,11 +16,11 @@ text, or one that ends in an added ellipsis, is cut if it has exactly such a len
 A text whose last sentence is closed by a mark is complete, and an ellipsis
 elsewhere is speech that trails off.
 
-One pass through Python reads all texts whole; after it only signatures, counts
-and endings are shuffled. Equal texts share one signature. Within a bucket each
-text meets its successor in the order of texts and the bucket's longest text,
-never all others: if any text of a bucket goes on where another stops, so does
-the successor. Bands of a hot text therefore cost what its distinct texts cost.
+One pass through Python reads all texts whole; after it only signatures, counts,
+endings and the texts of shared buckets are shuffled. Equal texts share one
+signature, so bands of a hot text cost what its distinct texts cost. Within a
+bucket each unfinished text is checked against every other until one shows it
+cut; pairs are no rows, and a large bucket is dealt over tasks in parts.
 """
 
 from __future__ import annotations
@@ -51,6 +51,8 @@ CALL_WORDS, CALL_RECORDS = 4, 3
 LIMIT_COUNT, LIMIT_TIMES = 10, 12
 #: Counts held by a task before they are sent on.
 HELD = 200_000
+#: Characters of distinct texts of a bucket that a task holds at once.
+PART_CHARS = 2_000_000
 
 _SOUND = re.compile(r"\[[^\]\n]{0,80}\]|\([^)\n]{0,80}\)|<[^>\n]{0,80}>|♪[^♪\n]{0,80}♪|\*[^*\n]{0,80}\*|\{[^}\n]{0,80}\}")
 _ENDS = re.compile(r"[.?!…]+")
@@ -204,45 +206,122 @@ def _model(counts: DataFrame, keys: list[str]) -> DataFrame:
     return own.unionByName(longer).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_open", "n_closed", "n_longer")])
 
 
-def _align(a: str, b: str) -> bool:
-    """Whether text ``a`` (words) ends early in its near-copy ``b``: all of it lies in ``b``, and ``b`` goes on."""
-    x, y = a.split(" "), b.split(" ")
-    sx, sy = ({tuple(v[i : i + SHINGLE]) for i in range(max(1, len(v) - SHINGLE + 1))} for v in (x, y))
-    if len(sx & sy) < SIMILAR * len(sx | sy) - 1e-9:
-        return False
+def _shingles(words: list[str]) -> set[str]:
+    return {" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+
+
+def _goes_on(x: list[str], y: list[str]) -> bool:
+    """Whether the words ``x``, aligned with their near-copy ``y``, end where ``y`` goes on."""
     if x == y[: len(x)]:
         return len(y) > len(x)
     if x[:-1] == y[: len(x) - 1] and len(y) >= len(x) and y[len(x) - 1].startswith(x[-1]):
         return True
-    blocks = SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()[:-1]
-    if not blocks:
+    # the last block of the alignment: what lies left of a longest match has no say in it
+    m, at, on = SequenceMatcher(None, x, y, autojunk=False), 0, 0
+    found = False
+    while at < len(x) and on < len(y) and (k := m.find_longest_match(at, len(x), on, len(y))).size:
+        at, on, found = k.a + k.size, k.b + k.size, True
+    if not found:
         return False
-    last = blocks[-1]
-    left = len(x) - (last.a + last.size)  # words of a behind the last common stretch
-    rest = len(y) - (last.b + last.size)
+    left, rest = len(x) - at, len(y) - on  # words behind the last common stretch
     if left == 0:
         return rest > 0
-    return left == 1 and rest >= 1 and y[last.b + last.size].startswith(x[-1]) and (rest > 1 or y[last.b + last.size] != x[-1])
+    return left == 1 and rest >= 1 and y[on].startswith(x[-1]) and (rest > 1 or y[on] != x[-1])
+
+
+def _align(a: str, b: str) -> bool:
+    """Whether text ``a`` (words) ends early in its near-copy ``b``: all of it lies in ``b``, and ``b`` goes on."""
+    x, y = a.split(" "), b.split(" ")
+    sx, sy = _shingles(x), _shingles(y)
+    return len(sx & sy) >= SIMILAR * len(sx | sy) - 1e-9 and _goes_on(x, y)
+
+
+class _Bucket:
+    """The texts of one bucket, or of one part of a large one, against which unfinished texts are checked."""
 
+    def __init__(self) -> None:
+        self.texts: list[tuple[str, list[int]]] = []
+        self.split: dict[int, tuple[list[str], set[str]]] = {}
 
-def early_ends(texts: DataFrame) -> DataFrame:
-    """(k1, k2) of distinct unfinished texts of table 0 that end early in a verified near-copy of either table."""
-    distinct = texts.groupBy("k1", "k2").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
-    members = distinct.select("k1", "k2", F.posexplode("bands").alias("band", "bucket"))
-    size = F.count(F.lit(1)).over(W.partitionBy("band", "bucket"))
-    members = members.withColumn("size", size).where("size > 1").select("band", "bucket", "k1", "k2")
-    m = members.join(distinct.select("k1", "k2", "words", "asked"), ["k1", "k2"])
-    order = W.partitionBy("band", "bucket").orderBy("words")
-    whole = W.partitionBy("band", "bucket").orderBy(F.length("words"), "words").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    m = m.withColumn("next", F.lead("words").over(order)).withColumn("longest", F.last("words").over(whole)).where("asked")
-    pairs = m.select("k1", "k2", "words", F.explode(F.array_compact(F.array("next", "longest"))).alias("other")).where("words <> other AND length(other) > length(words)").distinct()
+    def add(self, text: str, bands_: list[int]) -> None:
+        self.texts.append((" " + text, bands_))
+
+    def ends_early(self, text: str, bands_: list[int], band: int) -> bool:
+        """Whether ``text`` ends early in any text here; pairs that met in an earlier band were checked there."""
+        last = " " + text[text.rfind(" ") + 1 :]
+        x: list[str] = []
+        sx: set[str] = set()
+        for i, (y, other) in enumerate(self.texts):
+            # its last word must go on there, or stand before the end
+            if not 0 <= y.find(last) < len(y) - len(last):
+                continue
+            if any(bands_[k] == other[k] for k in range(band)):
+                continue
+            if not x:
+                x = text.split(" ")
+                sx = _shingles(x)
+            if i not in self.split:
+                words = y[1:].split(" ")
+                self.split[i] = words, _shingles(words)
+            words, sy = self.split[i]
+            if min(len(sx), len(sy)) < SIMILAR * max(len(sx), len(sy)) - 1e-9:
+                continue
+            common = len(sx & sy)
+            if common >= SIMILAR * (len(sx) + len(sy) - common) - 1e-9 and _goes_on(x, words):
+                return True
+        return False
+
+
+def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """(k1, k2) of distinct unfinished texts of table 0 that end early in a verified near-copy of either table.
+
+    Within a bucket each unfinished text is checked against all texts, until one
+    shows it cut. Pairs are never rows: a bucket of more than ``part_chars``
+    characters is dealt into parts, and its unfinished texts visit every part.
+    """
+    # the condition keeps both uses of these rows alike, so that they are shuffled once
+    distinct = texts.where("k1 IS NOT NULL AND k2 IS NOT NULL").groupBy("k1", "k2").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
+    members = distinct.select("k1", "k2", "asked", F.length("words").cast("bigint").alias("n"), F.posexplode("bands").alias("band", "bucket"))
+    bucket = W.partitionBy("band", "bucket")
+    members = members.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("any", F.max("asked").over(bucket)).withColumn("parts", F.ceil(F.sum("n").over(bucket) / part_chars))
+    members = members.where("size > 1 AND any").select("band", "bucket", "k1", "k2", "parts")
+    m = members.join(distinct, ["k1", "k2"])
+    own = F.pmod("k2", "parts")
+    m = m.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("asked"), F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).otherwise(F.array("own"))))
+    m = m.select("band", "bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "k2", "words", "bands")
+    # of a part the texts it holds come first, then the unfinished ones that visit it
+    m = m.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part", F.desc("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [_align(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_())).select(["k1", "k2"])
+        now, here, waiting, early = None, _Bucket(), [], []
 
-    return pairs.mapInArrow(run, "k1 bigint, k2 bigint").distinct()
+        def settle() -> None:
+            early.extend((k1, k2) for k1, k2, text, bands_ in waiting if here.ends_early(text, bands_, now[0]))
+            waiting.clear()
+
+        def out() -> pa.RecordBatch:
+            k1, k2 = zip(*early)
+            early.clear()
+            return pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], names=["k1", "k2"])
+
+        for b in batches:
+            for band, key, part, held, asked, k1, k2, text, bands_ in zip(*(c.to_pylist() for c in b.columns)):
+                if now != (band, key, part):
+                    settle()
+                    now, here = (band, key, part), _Bucket()
+                if held:
+                    here.add(text, bands_)
+                if asked:
+                    waiting.append((k1, k2, text, bands_))
+                    if not held and len(waiting) > 1000:
+                        settle()
+            if len(early) > 10_000:
+                yield out()
+        settle()
+        if early:
+            yield out()
+
+    return m.mapInArrow(run, "k1 bigint, k2 bigint").distinct()
 
 
 def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame | None = None, copy_text: str = "text") -> DataFrame:
