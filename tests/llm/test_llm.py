@@ -146,6 +146,28 @@ def test_early_ends_of_a_hot_group(spark):
         assert got == want
 
 
+def limit_rows(spark, rows):
+    df = spark.createDataFrame([(0, str(i), src, t) for i, (src, t) in enumerate(rows)], "tbl int, id string, source string, text string")
+    return {(x.source, x.unit, x.size) for x in truncation.limits(df.mapInArrow(truncation._read, truncation._SCHEMA).where("kind = 0").drop("bands")).collect()}
+
+
+def test_limits_of_small_sources(spark):
+    """Six texts at one length are a limit among few others, but not where that length is usual; bytes may lose part of a character."""
+    r = random.Random(2)
+    long = lambda n: "".join(r.choice("abcdeghiklm ă") for _ in range(2 * n)).strip()
+    rows = [("few", long(340)[:337] + "...") for _ in range(6)] + [("few", long(300)[: r.randint(40, 300)]) for _ in range(20)]
+    rows += [("usual", long(340)[: 60 + r.randrange(12)]) for _ in range(70)] + [("copies", "một câu được nói lại nhiều lần trong các bản ghi âm")] * 12
+    narrow = []
+    while len(narrow) < 30:  # cut at 400 bytes, a broken character dropped
+        t = "".join(r.choice("abcdeăờễ") for _ in range(400)).encode()[:400].decode(errors="ignore")
+        narrow.append(("bytes", t))
+    rows += narrow
+    got = limit_rows(spark, rows)
+    assert ("few", "chars", 340) in got and not {x for x in got if x[0] in ("usual", "copies")}
+    assert {x for x in got if x[0] == "bytes"} == {("bytes", "bytes", n) for n in range(397, 401)}
+    assert {x[1:] for x in limit_rows(spark, [("ascii", (long(200).replace("ă", "a") + "a" * 120)[:120]) for _ in range(15)])} == {("chars", 120), ("bytes", 120)}
+
+
 # 4 --------------------------------------------------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ sentences with marks, ending without one is evidence by itself. Calls of a few
 words, phrases that occur whole again and again, and a phrase that the
 recogniser kept repeating are no cut. Lengths at which a source's
 unfinished texts pile up are its limits (in characters or bytes); an unfinished
-text, or one that ends in an added ellipsis, is cut if it has exactly such a length.
+text, or one that ends in an added ellipsis, is cut if it has such a length.
 A text whose last sentence is closed by a mark is complete, and an ellipsis
 elsewhere is speech that trails off.
 
@@ -47,8 +47,8 @@ BANDS, ROWS, SHINGLE, SIMILAR = 6, 3, 5, 0.8
 TERMINALITY_MARKED, TERMINALITY_PLAIN, MARKED = 0.6, 0.012, 0.2
 #: A text of so few words, or one that occurs as a whole in so many records, needs no mark to be complete.
 CALL_WORDS, CALL_RECORDS = 4, 3
-#: A length is a limit if it has this many unfinished texts, and this many times the number expected.
-LIMIT_COUNT, LIMIT_TIMES = 10, 12
+#: A length is a limit if so many unfinished texts come with this chance in a source without limits, and if they are this many times the mean.
+LIMIT_ERROR, LIMIT_TIMES, LIMIT_NEAR = 1e-3, 12, 16
 #: Counts held by a task before they are sent on.
 HELD = 200_000
 #: Characters of distinct texts of a bucket that a task holds at once.
@@ -182,19 +182,41 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def limits(texts: DataFrame) -> DataFrame:
     """(source, unit, size, n): the lengths, in 'chars' or 'bytes', at which a source's unfinished texts pile up.
 
-    Expected is the mean number of unfinished texts a length has, below the
-    length or over all lengths up to the longest, whichever is more.
+    Counted are different texts. Expected is the mean number of unfinished texts
+    a length has: below the length, over all lengths up to the longest, or over
+    the LIMIT_NEAR lengths on either side (one more than seen), whichever is most.
+    A length is a limit if a Poisson count of that mean reaches its number with
+    a chance (Chernoff's bound) of LIMIT_ERROR for all lengths together. A limit
+    whose texts mostly lie at a larger one in the other unit only reflects it. A
+    limit in bytes may cut a character, whose rest is then dropped: lengths up to
+    three below are the same limit, unless it is one in characters as well.
     """
-    unfinished = texts.where("closing <> 'closed'").select("source", F.inline(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("size")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("size")))))
-    hist = unfinished.groupBy("source", "unit", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = [F.struct(F.lit(u).alias("unit"), F.col(a).alias("size"), F.col(b).alias("other")) for u, a, b in (("chars", "n_chars", "n_bytes"), ("bytes", "n_bytes", "n_chars"))]
+    unfinished = texts.where("closing <> 'closed'").select("source", "k1", "k2", F.inline(F.array(*sizes)))
+    both = unfinished.groupBy("source", "unit", "size", "other").agg(F.count_distinct("k1", "k2").alias("n"))
+    hist = both.groupBy("source", "unit", "size").agg(F.sum("n").alias("n"), F.max_by("other", "n").alias("other"), F.max("n").alias("n_same"))
     # one row per source, unit and length that occurs
     near = W.partitionBy("source", "unit").orderBy("size")
     total = F.sum("n").over(near.rangeBetween(W.unboundedPreceding, W.unboundedFollowing))
     h = hist.withColumn("upto", F.sum("n").over(near.rangeBetween(W.unboundedPreceding, W.currentRow))).withColumn("all", total)
     longest = F.max("size").over(near.rangeBetween(W.unboundedPreceding, W.unboundedFollowing))
     h = h.withColumn("longest", longest)
+    beside = [F.coalesce(F.sum("n").over(near.rangeBetween(a, b)), F.lit(0)) for a, b in ((-LIMIT_NEAR - 3, -4), (4, LIMIT_NEAR + 3))]
     mean = F.greatest((F.col("upto") - F.col("n")) / F.greatest(F.col("size") - 1, F.lit(1)), F.col("all") / F.greatest("longest", F.lit(1)))
-    return h.where((F.col("n") >= LIMIT_COUNT) & (F.col("n") >= LIMIT_TIMES * mean) & (F.col("size") >= 40)).select("source", "unit", "size", "n")
+    h = h.withColumn("mean", mean).withColumn("expected", F.greatest("mean", (F.greatest(*beside) + 1) / LIMIT_NEAR))
+    log_chance = F.col("n") - F.col("expected") - F.col("n") * F.log(F.col("n") / F.col("expected"))
+    rare = (F.col("n") > F.col("expected")) & (log_chance <= F.log(F.lit(LIMIT_ERROR) / F.col("longest")))
+    found = h.where(rare & (F.col("n") >= LIMIT_TIMES * F.col("mean")) & (F.col("size") >= 40))
+    found = found.withColumn("higher", F.max("size").over(near.rangeBetween(1, 3)))
+    found = durable(found.select("source", "unit", "size", "n", "other", "n_same", "higher"), "limits")
+
+    # a limit in one unit shows in the other too
+    shown = found.select(F.col("source").alias("_s"), F.col("unit").alias("_u"), F.col("size").alias("_o"), F.col("n").alias("_n"))
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("unit") != F.col("_u")) & (F.col("other") == F.col("_o")) & (F.col("n_same") * 2 >= F.col("n"))
+    own = found.join(shown, same, "left").where("_n IS NULL OR _n <= n")
+    down = F.when((F.col("unit") == "bytes") & F.col("_n").isNull() & F.col("higher").isNull(), 3).otherwise(0)
+    sizes = own.select("source", "unit", F.explode(F.sequence(F.col("size") - down, F.col("size"))).alias("size"), "n")
+    return sizes.groupBy("source", "unit", "size").agg(F.max("n").alias("n"))
 
 
 def _model(counts: DataFrame, keys: list[str]) -> DataFrame:
