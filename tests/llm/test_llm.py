@@ -51,6 +51,15 @@ def test_repetition_rows(spark):
     assert repetition.measure(df.limit(0), "text", ["id"]).isEmpty()
 
 
+def test_lines_without_an_end_mark():
+    prose = "Bà cụ vẽ lại mái ngói đỏ.\nBài cùng chuyên mục hôm nay\nCô giáo sửa chữa bến phà cũ!\nThợ gốm nói: “đi thôi.”"
+    got = repetition.judge(prose)
+    assert got[6] == [("punctuation", 1)] and got[4] == 6 and "chuyên mục" not in got[7]
+    captions = prose.translate({ord(c): None for c in ".!“”"})
+    assert repetition.judge(captions)[4:] == (0, 0.0, [], captions)
+    assert repetition.judge("Bà cụ đi chợ. cô giáo ở nhà")[6] == []
+
+
 # 2 --------------------------------------------------------------------------------------------------------------
 
 

@@ -1,7 +1,9 @@
 """Repetition inside a single text, by line-first cleaning.
 
 Every text is cut into lines (line breaks and sentence ends). Each line is
-judged by its own rules (no words at all, navigation, boilerplate, repetition),
+judged by its own rules (no words at all, navigation, boilerplate, repetition,
+and punctuation: no end mark in a text that closes most of its lines with one;
+a text written as captions, without marks, is not held to it),
 failing lines or the repeated part of a line are removed, and a text that loses
 too much is rejected. A word is repeated if it lies in a stretch of ``n``
 consecutive words that already began at an earlier word of the same text, also
@@ -23,6 +25,8 @@ from voxloom.llm.lookalike import fold
 
 #: A word: letters with their accents, and digits.
 WORD = re.compile("(?:[^\\W_][\u0300-\u036f]*)+")
+#: The end of a line that is closed by a mark, perhaps inside quotes or brackets.
+_MARK = re.compile(r"[.?!…。？！:;][\"”’»')\]]*\s*$")
 _LINE = re.compile(r"\n|(?<=[.!?…])\s+")
 # Separators between navigation links, and phrases of pages and channels rather than of speech.
 NAVIGATION = "|»›>→·"
@@ -50,8 +54,8 @@ def repeated(w: list[str], n: int = 4) -> bytearray:
     return flags
 
 
-def _rule(line: str, n_words: int, lost: int) -> str | None:
-    """The first rule that the line as a whole fails."""
+def _rule(line: str, n_words: int, lost: int, open_: bool) -> str | None:
+    """The first rule that the line as a whole fails; ``open_`` if it lacks the mark that the text's lines end in."""
     if not n_words:
         return "no_words"
     low = line.lower()
@@ -59,7 +63,9 @@ def _rule(line: str, n_words: int, lost: int) -> str | None:
         return "navigation"
     if any(x in low for x in BOILERPLATE):
         return "boilerplate"
-    return "repetition" if lost > n_words / 2 else None
+    if lost > n_words / 2:
+        return "repetition"
+    return "punctuation" if open_ else None
 
 
 def judge(text: str | None, n: int = 4, with_text: bool = True) -> tuple | None:
@@ -70,16 +76,18 @@ def judge(text: str | None, n: int = 4, with_text: bool = True) -> tuple | None:
     lines = [x for x in _LINE.split(fold(text).strip()) if x.strip()]
     per = [WORD.findall(x.lower()) for x in lines]
     flat = [x for p in per for x in p]
+    marks = [bool(_MARK.search(x)) for x in lines]
+    marked = sum(marks) * 2 > len(lines)
     flags = repeated(flat, n)
     rep = sum(flags)
     at = lost = 0
     failed: dict[str, int] = {}
     kept = []
-    for line, p in zip(lines, per):
+    for line, p, mark in zip(lines, per, marks):
         own = flags[at : at + len(p)]
         at += len(p)
         bad = sum(own)
-        if rule := _rule(line, len(p), bad):
+        if rule := _rule(line, len(p), bad, marked and not mark):
             failed[rule] = failed.get(rule, 0) + 1
             lost += len(p)
         else:
