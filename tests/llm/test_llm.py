@@ -306,6 +306,18 @@ def test_fillers(spark, t):
     assert df.select(turns.row_kind(F.col("t"), F.col("ty"), ["ờ", "hmm"]).alias("k")).first().k == "filler"
 
 
+def test_speakers_of_a_transcript(spark):
+    """Labels meet whatever their number or first letter; different numbers stay apart, also through a label without one."""
+    labels = {"a": ["MC", "MC 1", "mc_01", "Dr Smith", "Mr Smith", "Guest"], "b": ["MC", "MC 1", "MC 2"], None: ["S", "S 3"]}
+    df = spark.createDataFrame([(f, x) for f, own in labels.items() for x in own], "file_id string, label string")
+    got = {(x.file_id, x.label): (x.speaker, x.speaker_no) for x in turns.speakers(df).collect()}
+    assert len(got) == 11
+    assert got["a", "MC"] == got["a", "MC 1"] == got["a", "mc_01"] and got["a", "MC"][1] == 1
+    assert got["a", "Dr Smith"] == got["a", "Mr Smith"] != got["a", "Guest"]
+    assert got["b", "MC"][1] is None and got["b", "MC 1"][1] == 1 and got["b", "MC 2"][1] == 2
+    assert got[None, "S"] == got[None, "S 3"] and got[None, "S"][1] == 3
+
+
 # 7 --------------------------------------------------------------------------------------------------------------
 
 TIERS = [("short", 8), ("long", 64), ("medium", 20)]

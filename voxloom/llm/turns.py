@@ -114,7 +114,11 @@ def _alike(a: tuple[str, str, int | None], b: tuple[str, str, int | None], simil
 
 
 def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, int | None]]:
-    """Union-find over the labels of one block: label -> (canonical label, its number)."""
+    """Union-find over the labels of one transcript: label -> (canonical label, its number).
+
+    Different numbers are never one speaker: a label without a number joins the
+    numbered labels of its letters only if they are all one speaker.
+    """
     labels = sorted(set(labels))
     shapes = [_shape(x) for x in labels]
     up = list(range(len(labels)))
@@ -129,9 +133,24 @@ def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, in
     for i, s in enumerate(shapes):  # equal shapes first: as many labels as there are shapes remain
         up[root(i)] = root(same.setdefault(s, i))
     heads = sorted(same.values())
-    for i, j in itertools.combinations(heads, 2):
-        if root(i) != root(j) and _alike(shapes[i], shapes[j], similar):
-            up[max(root(i), root(j))] = min(root(i), root(j))
+    # only labels of one number, or without, can be alike before the two kinds meet
+    by_number: dict[int | None, list[int]] = {}
+    for i in heads:
+        by_number.setdefault(shapes[i][2], []).append(i)
+    for block in by_number.values():
+        for i, j in itertools.combinations(block, 2):
+            if root(i) != root(j) and _alike(shapes[i], shapes[j], similar):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    numbered: dict[str, list[int]] = {}
+    for i in heads:
+        if shapes[i][2] is not None:
+            numbered.setdefault(shapes[i][0], []).append(i)
+    goes: dict[int, set[int]] = {}
+    for i in by_number.get(None, []):
+        goes.setdefault(root(i), set()).update(root(j) for j in numbered.get(shapes[i][0], []) if _alike(shapes[i], shapes[j], similar))
+    for i, to in goes.items():
+        if len(to) == 1:
+            up[i] = to.pop()
     best: dict[int, tuple[str, int | None]] = {}
     for i, x in enumerate(labels):
         r = root(i)
@@ -143,14 +162,11 @@ def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, in
 def speakers(labels: DataFrame) -> DataFrame:
     """(file_id, label, speaker, speaker_no) for the distinct (file_id, label) of ``labels``.
 
-    Labels of different numbers or different first letters never meet, so each
-    is clustered in the block of its number, or of its first letter.
+    All labels of a transcript are clustered together; they are few.
     """
-    block = F.coalesce(F.regexp_extract("label", r"(\d{1,9})\D*$", 1).cast("string"), F.lit(""))
-    block = F.when(block != "", F.concat(F.lit("#"), F.regexp_replace(block, "^0+(?=\\d)", ""))).otherwise(F.lower(F.regexp_extract("label", r"(\p{L})", 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # blocks follow one another in the sorted partition; one is held at a time
+        # transcripts follow one another in the sorted partition; one is held at a time
         now, held, done = None, [], []
 
         def close() -> None:
@@ -164,11 +180,11 @@ def speakers(labels: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(x, pa.string()), pa.array(name, pa.string()), pa.array(no, pa.int32())], names=["file_id", "label", "speaker", "speaker_no"])
 
         for b in batches:
-            for f, x, block in zip(*(b.column(i).to_pylist() for i in range(3))):
-                if now != (f, block):
+            for f, x in zip(*(b.column(i).to_pylist() for i in range(2))):
+                if now != (f,):
                     if held:
                         close()
-                    now = (f, block)
+                    now = (f,)
                 held.append(x)
             if len(done) > 10_000:
                 yield out()
@@ -177,8 +193,8 @@ def speakers(labels: DataFrame) -> DataFrame:
         if done:
             yield out()
 
-    blocks = labels.select("file_id", "label", block.alias("block")).repartition("file_id", "block").sortWithinPartitions("file_id", "block", "label")
-    return blocks.mapInArrow(run, "file_id string, label string, speaker string, speaker_no int")
+    own = labels.select("file_id", "label").repartition("file_id").sortWithinPartitions("file_id", "label")
+    return own.mapInArrow(run, "file_id string, label string, speaker string, speaker_no int")
 
 
 # --- turns ------------------------------------------------------------------------------------------------------
