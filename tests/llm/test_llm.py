@@ -232,6 +232,16 @@ def test_sketch_tables(spark, monkeypatch):
     assert quantiles.answers(quantiles.merged(quantiles.sketches(df.limit(0), ["k"], ["v"]), ["k"])).isEmpty()
 
 
+def test_percentiles_without_copies(spark, sf, tmp_path):
+    """Durations are answered too, and copied rows of both tables make no difference."""
+    for name in ("accepted", "quality_metrics"):
+        t = spark.read.parquet(f"{sf}/{name}.parquet").distinct()
+        t.write.parquet(f"{tmp_path}/once/{name}.parquet")
+        t.unionByName(t.where("pmod(hash(id), 3) = 0")).write.parquet(f"{tmp_path}/copied/{name}.parquet")
+    once, copied = (sorted(map(str, queries.p4_without_copies(spark, f"{tmp_path}/{x}").collect())) for x in ("once", "copied"))
+    assert once == copied and any("accepted_duration" in x for x in once)
+
+
 # 5 --------------------------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,10 +72,13 @@ def p4_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 def p4_without_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Percentiles over the period after copied rows have been deleted from the finished sketches again."""
     q = table(spark, sf, "quality_metrics").select("id", "source_folder", *METRICS)
-    whole = quantiles.sketches(q, ["source_folder"], METRICS)
-    # of each row's copies all but one are taken back
-    again = q.groupBy("id", "source_folder", *METRICS).agg((1 - F.count(F.lit(1))).alias("w")).where("w < 0")
-    return quantiles.answers(quantiles.merged(whole.unionByName(quantiles.sketches(again, ["source_folder"], METRICS, weight="w")), ["source_folder"]))
+    a = table(spark, sf, "accepted").select("id", "source_folder", F.col("duration").alias("accepted_duration"))
+    parts = []
+    for rows, metrics in ((q, METRICS), (a, ["accepted_duration"])):
+        # of each row's copies all but one are taken back
+        again = rows.groupBy("id", "source_folder", *metrics).agg((1 - F.count(F.lit(1))).alias("w")).where("w < 0")
+        parts += [quantiles.sketches(rows, ["source_folder"], metrics), quantiles.sketches(again, ["source_folder"], metrics, weight="w")]
+    return quantiles.answers(quantiles.merged(functools.reduce(DataFrame.unionByName, parts), ["source_folder"]))
 
 
 # 5 --------------------------------------------------------------------------------------------------------------
