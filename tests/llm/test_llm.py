@@ -35,7 +35,8 @@ def test_repetition_brute():
     r = random.Random(3)
     for _ in range(200):
         t = " ".join(r.choice(["a", "b", "c", "Đẹp", "no."]) for _ in range(r.randint(0, 40)))
-        assert repetition.judge(t)[2:0:-1] == share(t)
+        lines = repetition.ledger(t)
+        assert (sum(x[2] for x in lines), sum(x[1] for x in lines)) == share(t)
 
 
 def test_repetition_rows(spark):
@@ -51,13 +52,35 @@ def test_repetition_rows(spark):
     assert repetition.measure(df.limit(0), "text", ["id"]).isEmpty()
 
 
-def test_lines_without_an_end_mark():
+def test_lines_without_an_end_mark(spark):
     prose = "Bà cụ vẽ lại mái ngói đỏ.\nBài cùng chuyên mục hôm nay\nCô giáo sửa chữa bến phà cũ!\nThợ gốm nói: “đi thôi.”"
-    got = repetition.judge(prose)
-    assert got[6] == [("punctuation", 1)] and got[4] == 6 and "chuyên mục" not in got[7]
     captions = prose.translate({ord(c): None for c in ".!“”"})
-    assert repetition.judge(captions)[4:] == (0, 0.0, [], captions)
-    assert repetition.judge("Bà cụ đi chợ. cô giáo ở nhà")[6] == []
+    df = spark.createDataFrame(list(enumerate([prose, captions, "Bà cụ đi chợ. cô giáo ở nhà"])), "id int, t string")
+    got = [x.rep for x in repetition.measure(df, "t", ["id"]).orderBy("id").collect()]
+    assert got[0].failed_lines == {"punctuation": 1} and got[0].lost_words == 6 and "chuyên mục" not in got[0].kept_text
+    assert (got[1].lost_words, got[1].lost_share, got[1].failed_lines, got[1].kept_text) == (0, 0.0, {}, captions)
+    assert got[2].failed_lines == {}
+
+
+def test_recurring_lines(spark):
+    """Lines of three different texts of many recur, those of copies do not; they are removed whole, and a text of little else is rejected."""
+    own = [f"{w} {v} đi chợ." for w in ("Bà cụ", "Cô giáo", "Thợ gốm", "Chú bé") for v in ("không", "vừa", "đang")]
+    rows = [(i, f"{t}\n[vỗ tay]\nCảm ơn các bạn.") for i, t in enumerate(own[:3])] + [(i + 3, t) for i, t in enumerate(own[3:])]
+    rows += [(50 + i, "Chỉ nói một lần này thôi nhé.\nMai ta đi.") for i in range(9)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = {x.id: x for x in repetition.measure(df.repartition(3), "t", ["id"]).collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(own[:3]):
+        assert got[i].rep.failed_lines == {"navigation": 1, "boilerplate": 1} and got[i].rep.kept_text == t and got[i].rejected
+        assert got[i].rep.lost_words == 6 and got[i].rep.repeated_words == 0
+    assert all(not got[i].rejected and got[i].rep.lost_words == 0 for i in got if i >= 3)
+
+
+def test_hot_line(spark):
+    """A line that a third of all texts hold."""
+    df = spark.range(3000).selectExpr("id", "concat('Câu số ', id, ' của riêng tôi.', if(id % 3 = 0, '\n[nhạc]', '')) AS t")
+    m = repetition.measure(df, "t", ["id"]).selectExpr("id % 3 = 0 AS hot", "map_keys(rep.failed_lines) AS f").distinct().collect()
+    assert sorted((x.hot, x.f) for x in m) == [(False, []), (True, ["navigation"])]
 
 
 # 2 --------------------------------------------------------------------------------------------------------------

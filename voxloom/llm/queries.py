@@ -26,7 +26,8 @@ def _fixed(df: DataFrame, *cols: str, most: int = 10_000) -> list:
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     m = repetition.measure(table(spark, sf, "raw_transcripts").where("text IS NOT NULL"), "text", ["id"], with_text=False)
-    return m.where(repetition.share_at_least(0.3)).select("id").distinct()
+    # a text that loses the share to repetition alone loses it to all rules together: the rejected texts, then the exact share
+    return m.where(F.col("rejected") & repetition.share_at_least(0.3)).select("id").distinct()
 
 
 def p1_repetition(spark: SparkSession, sf: str) -> DataFrame:
