@@ -351,6 +351,46 @@ def test_speakers_of_a_transcript(spark):
     assert got[None, "S"] == got[None, "S 3"] and got[None, "S"][1] == 3
 
 
+@pytest.mark.parametrize("similar", [0.85, 0.7])
+def test_clusters_lose_no_link(similar):
+    """The clusters are those of a comparison of all pairs."""
+    r = random.Random(8)
+    base = ["".join(r.choices("aàbđ ", k=r.randint(1, 14))).strip() or "a" for _ in range(60)]
+    labels = list({x for b in base for x in (b, b[1:] + "b", b[:-1], "dr " + b, b + " 1", b.upper() + "  01", "spk 2", "Người nói 2") if x.strip()})
+    got = turns.cluster(labels, similar)
+    shapes = {x: turns._shape(x) for x in labels}
+    plain = [x for x in labels if shapes[x][2] is None]
+    up = {x: x for x in plain}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(plain):
+        for b in plain[:i]:
+            if shapes[a] == shapes[b] or turns._alike(shapes[a], shapes[b], similar) or turns._alike(shapes[b], shapes[a], similar):
+                up[root(a)] = root(b)
+    for a in plain:
+        for b in plain:
+            if root(a) == root(b):
+                assert got[a] == got[b]
+    assert got["spk 2"] == got["Người nói 2"] and len({got[x][0] for x in labels}) > 3
+
+
+def test_long_and_odd_labels(spark):
+    """A label of any length is a label, its number the last one; only clusters join the labels of one speaker."""
+    t = spark.createDataFrame([("speaker" + " " * 100 + "7:",), ("[" + " " * 80 + "S 07" + " " * 90 + "]",), ("nói 7",), ("spk 12345678901",)], "t string")
+    assert [x.n for x in t.select(turns.label_number(F.col("t")).alias("n")).collect()] == [7, 7, None, None]
+    c = turns.cluster(["team 2 speaker 1", "team 2 speaker 3", "Team 2 Speaker 01"])
+    assert [c[x][1] for x in ("team 2 speaker 1", "team 2 speaker 3")] == [1, 3] and c["Team 2 Speaker 01"] == c["team 2 speaker 1"]
+    rows = [("đi", 0, "word", "SPEAKER_00"), ("về", 1, "word", "spk0"), ("nhà", 2, "word", "Dr Minh An"), ("thôi", 3, "word", "Mr Minh An")]
+    got = turns.clean_turns(stream(spark, rows), []).select("start_ms", "end_ms", "speaker_no").collect()
+    assert sorted(map(tuple, got)) == [(0, 1500, 0), (2000, 3500, None)]
+    names = [f"{a}{b} {c}" for a in "bcdghklmnpqrstvx" for b in ("anh", "oan", "iet", "uong") for c in ("van", "thi", "huu", "ngoc", "minh")] * 4
+    assert len(turns.cluster([f"{x} {i}" for i, x in enumerate(names)])) == len(names)
+
+
 # 7 --------------------------------------------------------------------------------------------------------------
 
 TIERS = [("short", 8), ("long", 64), ("medium", 20)]

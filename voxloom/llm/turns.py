@@ -54,7 +54,9 @@ def label_number(text: Column) -> Column:
     """The number of a speaker label that stands in ``text`` as a row of its own; null if it is none."""
     names = "|".join(spelled(x) for x in ROLE_NAMES)
     pattern = rf"^\s*(?:>+\s*)?[\[<({{]?\s*(?:v\s+)?(?:{names})[\s_.\-]*0*(\d{{1,9}})\s*[\])>}}]?\s*[:\-–]?\s*$"
-    return F.when(F.length(text) < 64, F.try_to_number(F.nullif(F.regexp_extract(F.lower(text), pattern, 1), F.lit("")), F.lit("999999999")).cast("int"))
+    # a label ends in a digit or a mark behind it: most rows need no more than that look
+    near = text.rlike(r"\d\s*[\])>}]?\s*[:\-–]?\s*$")
+    return F.when(near, F.try_to_number(F.nullif(F.regexp_extract(F.lower(text), pattern, 1), F.lit("")), F.lit("999999999")).cast("int"))
 
 
 def row_kind(text: Column, type_: Column, fillers: list[str]) -> Column:
@@ -92,32 +94,55 @@ def tidy(label: Column) -> Column:
 
 
 def _shape(label: str) -> tuple[str, str, int | None]:
-    """(letters, initials, number) of a label."""
+    """(letters, initials, number) of a label; the number is its last group of digits."""
     low = unicodedata.normalize("NFC", label).lower()
-    digits = "".join(c for c in low if c.isdigit())
-    number = int(digits[-9:]) if digits else None
+    groups = "".join(c if c.isdigit() else " " for c in low).split()
+    number = int(groups[-1][-9:]) if groups else None
     names = ["".join(c for c in x if c.isalpha()) for x in "".join(c if c.isalpha() else " " for c in low).split()]
     return " ".join(names), "".join(x[0] for x in names), number
 
 
+_ROLES = frozenset(unicodedata.normalize("NFC", x) for x in ROLE_NAMES)
+
+
 def _alike(a: tuple[str, str, int | None], b: tuple[str, str, int | None], similar: float) -> bool:
-    if a[2] is not None and b[2] is not None:
-        if a[2] != b[2]:
-            return False
-        roles = {unicodedata.normalize("NFC", x) for x in ROLE_NAMES}
-        return (a[0] in roles and b[0] in roles) or a[1] == b[1] or SequenceMatcher(None, a[0], b[0], autojunk=False).ratio() >= similar
-    if (a[2] is None) != (b[2] is None):
-        return a[0] == b[0] and a[0] != ""
+    """Whether two labels of one number, or two without, name one speaker."""
+    if a[2] is not None and ((a[0] in _ROLES and b[0] in _ROLES) or a[1] == b[1]):
+        return True
     # names: one may be the other's initials
-    initials = any(len(x[1]) > 1 and x[1] == y[0].replace(" ", "") for x, y in ((a, b), (b, a)))
-    return initials or SequenceMatcher(None, a[0], b[0], autojunk=False).ratio() >= similar
+    if a[2] is None and any(len(x[1]) > 1 and x[1] == y[0].replace(" ", "") for x, y in ((a, b), (b, a))):
+        return True
+    return 2 * min(len(a[0]), len(b[0])) >= similar * (len(a[0]) + len(b[0])) and SequenceMatcher(None, a[0], b[0], autojunk=False).ratio() >= similar
+
+
+def _keys(shape: tuple[str, str, int | None], similar: float) -> set[tuple[str, str]]:
+    """Keys of which two alike labels of one number always share one.
+
+    By role or initials they share those. By similarity: if strings of s letters
+    together match with a ratio r or more, e <= (1 - r) s letters are unmatched
+    and s - e are matched in pairs, in e + 1 stretches at most; so one stretch
+    has two letters or more where s (1.5 r - 1) > 1. Shorter strings, whose
+    partner may be longer by (2 - r) / r, meet by single letters too.
+    """
+    letters, initials, number = shape
+    keys = {("initials", initials)}
+    if number is None:
+        keys.add(("initials", letters.replace(" ", "")))
+    elif letters in _ROLES:
+        keys.add(("role", ""))
+    keys |= {("two", letters[i : i + 2]) for i in range(len(letters) - 1)}
+    if 2 * len(letters) * similar / (2 - similar) * (1.5 * similar - 1) <= 1:
+        keys |= {("one", c) for c in letters}
+    return keys
 
 
 def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, int | None]]:
     """Union-find over the labels of one transcript: label -> (canonical label, its number).
 
     Different numbers are never one speaker: a label without a number joins the
-    numbered labels of its letters only if they are all one speaker.
+    numbered labels of its letters only if they are all one speaker. Labels
+    meet where they share a key that alike labels always share, so thousands
+    of different names are not compared each with each.
     """
     labels = sorted(set(labels))
     shapes = [_shape(x) for x in labels]
@@ -134,11 +159,14 @@ def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, in
         up[root(i)] = root(same.setdefault(s, i))
     heads = sorted(same.values())
     # only labels of one number, or without, can be alike before the two kinds meet
-    by_number: dict[int | None, list[int]] = {}
-    for i in heads:
-        by_number.setdefault(shapes[i][2], []).append(i)
-    for block in by_number.values():
-        for i, j in itertools.combinations(block, 2):
+    by_key: dict[tuple, list[int]] = {}
+    for j in heads:
+        met: set[int] = set()
+        for k in _keys(shapes[j], similar):
+            own = by_key.setdefault((shapes[j][2], k), [])
+            met.update(own)
+            own.append(j)
+        for i in sorted(met):
             if root(i) != root(j) and _alike(shapes[i], shapes[j], similar):
                 up[max(root(i), root(j))] = min(root(i), root(j))
     numbered: dict[str, list[int]] = {}
@@ -146,8 +174,9 @@ def cluster(labels: list[str], similar: float = 0.85) -> dict[str, tuple[str, in
         if shapes[i][2] is not None:
             numbered.setdefault(shapes[i][0], []).append(i)
     goes: dict[int, set[int]] = {}
-    for i in by_number.get(None, []):
-        goes.setdefault(root(i), set()).update(root(j) for j in numbered.get(shapes[i][0], []) if _alike(shapes[i], shapes[j], similar))
+    for i in heads:
+        if shapes[i][2] is None and shapes[i][0]:
+            goes.setdefault(root(i), set()).update(root(j) for j in numbered.get(shapes[i][0], []))
     for i, to in goes.items():
         if len(to) == 1:
             up[i] = to.pop()
@@ -247,8 +276,8 @@ def clean_turns(words: DataFrame, fillers: Iterable[str], shard_ms: int = SHARD_
     runs = runs.join(carry, runs.file_id.eqNullSafe(carry._f) & (runs.shard == carry._s), "left").withColumn("label", F.coalesce("by", "carry")).where("label IS NOT NULL").drop("_f", "_s", "by", "carry")
     who = who.select(F.col("file_id").alias("_f"), F.col("label").alias("_l"), "speaker", "speaker_no")
     runs = runs.join(who, runs.file_id.eqNullSafe(who._f) & (runs.label == who._l)).drop("_f", "_l")
-    who_is = F.coalesce(F.concat(F.lit("#"), F.col("speaker_no").cast("string")), F.col("speaker"))
-    runs = runs.select("file_id", "shard", "f", "l", "n_words", "speaker_no", "speaker", who_is.alias("who"), *(["text"] if with_text else []))
+    # one speaker is one cluster, whatever its labels
+    runs = runs.select("file_id", "shard", "f", "l", "n_words", "speaker_no", "speaker", F.col("speaker").alias("who"), *(["text"] if with_text else []))
 
     in_shard = _joined(runs, ["file_id", "shard"], with_text)
     # only a shard's first and last turn can go on in another shard
