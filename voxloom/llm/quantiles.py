@@ -19,8 +19,11 @@ are exact, below 0.02 n on metrics like these (tests hold them to that). A
 wider sketch lowers it as 1 / sqrt(WIDTH).
 
 A sketch has the same size however many values it holds. Sketches are built
-where the rows are read, one per group and partition, sent compressed, and
-added up in sorted streams: a group is never collected.
+where the rows are read, one per group and partition, and added up in sorted
+streams, in two levels: first within blocks of partitions, then the blocks, so
+no task takes a sketch of every partition. A sketch of few different codes
+travels as those codes with their counts and is unfolded where its counters are
+needed; unfolding is exact, so how it travelled makes no difference.
 """
 
 from __future__ import annotations
@@ -38,12 +41,12 @@ LEVELS = BITS - TOP
 DEPTH = 5
 WIDTH = 512
 CELLS = LEVELS * DEPTH * WIDTH + (1 << TOP)
-#: Groups whose counters are open at the same time while rows are read (124 kB each).
-OPEN_GROUPS = 512
-#: A group with fewer values in a batch travels as its codes, which are added to the same sketch at the merge.
-FEW = 200
-#: Groups added up side by side in a merge.
-CHUNK = 64
+#: Groups that are open at the same time while rows are read, of those with counters (248 kB each), and codes (16 bytes).
+OPEN_GROUPS, OPEN_COUNTERS, OPEN_CODES = 4096, 200, 4_000_000
+#: A sketch of fewer different codes travels as its codes. Only affects its size on the way, never the result.
+FEW = 4096
+#: Partitions whose sketches are added up together first.
+BLOCK = 16
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 _RNG = np.random.Generator(np.random.PCG64(20250301))
@@ -136,12 +139,36 @@ def from_bytes(b: bytes) -> np.ndarray:
 
 
 def _codes_to_bytes(codes: np.ndarray, weights: np.ndarray) -> bytes:
-    return b"\0" + codes.astype("<i4").tobytes() + weights.astype("<i8").tobytes()
+    """Sorted different codes and their counts."""
+    step = np.diff(codes, prepend=0)
+    m = np.abs(weights).max(initial=0)
+    kind = 1 if m < 127 else 2 if m < 32767 else 4 if m < 2**31 - 1 else 8
+    return b"\0" + bytes([kind]) + zlib.compress(step.astype("<i4").tobytes() + weights.astype(f"<i{kind}").tobytes(), 1)
 
 
 def _codes_from_bytes(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = (len(b) - 1) // 12
-    return np.frombuffer(b, "<i4", n, 1).astype(np.int64), np.frombuffer(b, "<i8", n, 1 + 4 * n).astype(float)
+    raw = zlib.decompress(b[2:])
+    n = len(raw) // (4 + b[1])
+    return np.cumsum(np.frombuffer(raw, "<i4", n)).astype(np.int64), np.frombuffer(raw, f"<i{b[1]}", n, 4 * n).astype(np.int64)
+
+
+def _packed(codes: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes and the sums of their counts, without those of count 0."""
+    code, at = np.unique(np.concatenate(codes), return_inverse=True)
+    w = np.bincount(at, np.concatenate(weights), len(code)).round().astype(np.int64)
+    return code[w != 0], w[w != 0]
+
+
+def counters_of(parts: list[bytes]) -> np.ndarray:
+    """The counters of each sketch (sketches x CELLS), however it travelled."""
+    out = np.zeros((len(parts), CELLS), np.int64)
+    few = [(i, *_codes_from_bytes(b)) for i, b in enumerate(parts) if not b[0]]
+    for i, b in enumerate(parts):
+        if b[0]:
+            out[i] = from_bytes(b)
+    if few:
+        add(out, np.concatenate([np.full(len(c), i) for i, c, _ in few]), np.concatenate([c for _, c, _ in few]), np.concatenate([w for _, _, w in few]).astype(float))
+    return out
 
 
 # --- on tables --------------------------------------------------------------------------------------------------
@@ -149,7 +176,7 @@ def _codes_from_bytes(b: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(values: DataFrame, keys: list[str], metrics: list[str], weight: str | None = None) -> DataFrame:
-    """Partial sketches (keys..., metric, n, sketch) of numeric columns: one per group and metric for each run of a partition.
+    """Partial sketches (keys..., metric, n, sketch, block) of numeric columns: one per group and metric for each run of a partition.
 
     Null, NaN and infinite values are left out; a row with only those adds
     nothing. ``weight``: a column of whole counts, negative to delete. A null
@@ -161,21 +188,11 @@ def sketches(values: DataFrame, keys: list[str], metrics: list[str], weight: str
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:nk]] + ["metric string", "n bigint", "sketch binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[tuple, int] = {}
-        counters = np.zeros((0, CELLS), np.int32)
+        held = _Held(OPEN_GROUPS)
         kt: list[pa.Field] = []
 
-        def rows(part: list[tuple[tuple, int, bytes]]) -> pa.RecordBatch:
-            cols = [pa.array([k[i] for k, _, _ in part], kt[i].type) for i in range(nk)]
-            cols += [pa.array([k[nk] for k, _, _ in part], pa.string()), pa.array([n for _, n, _ in part], pa.int64()), pa.array([s for _, _, s in part], pa.binary())]
-            return pa.RecordBatch.from_arrays(cols, names=[*(f.name for f in kt), "metric", "n", "sketch"])
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal counters
-            for at in range(0, len(open_), 128):
-                yield rows([(k, int(counters[j, -(1 << TOP) :].sum()), to_bytes(counters[j])) for k, j in list(open_.items())[at : at + 128]])
-            open_.clear()
-            counters = np.zeros((0, CELLS), np.int32)
+        def out() -> Iterator[pa.RecordBatch]:
+            yield from held.batches([*(f.name for f in kt), "metric", "n", "sketch"], [*(f.type for f in kt), pa.string()])
 
         for b in batches:
             kt = [b.schema.field(i) for i in range(nk)]
@@ -185,92 +202,117 @@ def sketches(values: DataFrame, keys: list[str], metrics: list[str], weight: str
             row_group = np.fromiter((ids.setdefault(k, len(ids)) for k in frame), np.int64, len(frame))
             tuples = list(ids)
             w = table.column("_w").to_numpy().astype(float) if weight else None
-            few: list[tuple[tuple, int, bytes]] = []
             for m in metrics:
                 x = table.column(m).to_numpy().astype(float)
                 ok = np.flatnonzero(np.isfinite(x))
-                ok = ok[np.argsort(row_group[ok], kind="stable")]
-                codes, groups = encode(x[ok]), row_group[ok]
-                weights = w[ok] if w is not None else np.ones(len(codes))
-                present, first, size = np.unique(groups, return_index=True, return_counts=True)
-                many = []
-                for p, lo, k in zip(present.tolist(), first.tolist(), size.tolist()):
-                    if k >= FEW or (*tuples[p], m) in open_:
-                        many.append((p, lo, k))
-                    else:
-                        few.append(((*tuples[p], m), int(weights[lo : lo + k].sum()), _codes_to_bytes(codes[lo : lo + k], weights[lo : lo + k])))
-                for at in range(0, len(many), 64):
-                    part = many[at : at + 64]
-                    if len(open_) + len(part) > OPEN_GROUPS:
-                        yield from flush()
-                    slot = np.array([open_.setdefault((*tuples[p], m), len(open_)) for p, _, _ in part])
-                    if len(open_) > len(counters):
-                        counters = np.concatenate([counters, np.zeros((max(64, len(open_) - len(counters)), CELLS), np.int32)])
-                    own = np.zeros((len(part), CELLS), np.int64)
-                    at_rows = np.concatenate([np.arange(lo, lo + k) for _, lo, k in part])
-                    add(own, np.repeat(np.arange(len(part)), [k for _, _, k in part]), codes[at_rows], weights[at_rows])
-                    counters[slot] += own.astype(np.int32)
-            if few:
-                yield rows(few)
-        if open_:
-            yield from flush()
-
-    return src.mapInArrow(run, schema)
-
-
-def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sketches added up to one per (keys..., metric), as a stream over sorted partial sketches."""
-    group = [*keys, "metric"]
+                # one number a group and code: both are sorted at once
+                both = (row_group[ok] << BITS) | encode(x[ok])
+                if w is None:
+                    both, counts = np.unique(both, return_counts=True)
+                else:
+                    both, at = np.unique(both, return_inverse=True)
+                    counts = np.bincount(at, w[ok], len(both)).round().astype(np.int64)
+                groups, codes = both >> BITS, both & ((1 << BITS) - 1)
+                present, first = np.unique(groups, return_index=True)
+                for p, lo, hi in zip(present.tolist(), first.tolist(), [*first.tolist()[1:], len(groups)]):
+                    if held.full((*tuples[p], m)):
+                        yield from out()
+                    held.codes((*tuples[p], m), codes[lo:hi], counts[lo:hi], int(counts[lo:hi].sum()))
+        yield from out()
+
+    return src.mapInArrow(run, schema).withColumn("block", F.floor(F.spark_partition_id() / BLOCK).cast("int"))
+
+
+class _Held:
+    """Sketches that are being added up: as codes, or as counters once they have many."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.n: dict[tuple, int] = {}
+        self.few: dict[tuple, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size: dict[tuple, int] = {}
+        self.held = 0
+        self.many: dict[tuple, np.ndarray] = {}
+
+    def full(self, key: tuple) -> bool:
+        return key not in self.n and (len(self.n) >= self.most or len(self.many) >= OPEN_COUNTERS or self.held >= OPEN_CODES)
+
+    def codes(self, key: tuple, code: np.ndarray, weight: np.ndarray, n: int) -> None:
+        self.n[key] = self.n.get(key, 0) + n
+        if key in self.many:
+            add(self.many[key], np.zeros(len(code), np.int64), code, weight.astype(float))
+            return
+        own = self.few.setdefault(key, [])
+        own.append((code, weight))
+        self.size[key] = self.size.get(key, 0) + len(code)
+        self.held += len(code)
+        if self.size[key] > 2 * FEW:
+            c, w = _packed(*map(list, zip(*own)))
+            self.held += len(c) - self.size[key]
+            self.few[key], self.size[key] = [(c, w)], len(c)
+            if len(c) > FEW:
+                self.many[key] = np.zeros((1, CELLS), np.int64)
+                add(self.many[key], np.zeros(len(c), np.int64), c, w.astype(float))
+                self.held -= len(c)
+                del self.few[key], self.size[key]
+
+    def sketch(self, key: tuple, b: bytes, n: int) -> None:
+        if not b[0]:
+            self.codes(key, *_codes_from_bytes(b), n)
+            return
+        self.n[key] = self.n.get(key, 0) + n
+        if key not in self.many:
+            self.many[key] = np.zeros((1, CELLS), np.int64)
+            for c, w in self.few.pop(key, []):
+                add(self.many[key], np.zeros(len(c), np.int64), c, w.astype(float))
+            self.held -= self.size.pop(key, 0)
+        self.many[key][0] += from_bytes(b)
+
+    def batches(self, names: list[str], key_types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+        keys = list(self.n)
+        for at in range(0, len(keys), 128):
+            part = keys[at : at + 128]
+            out = []
+            for k in part:
+                if k in self.many:
+                    out.append(to_bytes(self.many[k][0]))
+                    continue
+                c, w = _packed(*map(list, zip(*self.few[k])))
+                out.append(_codes_to_bytes(c, w))
+            cols = [pa.array([k[i] for k in part], t) for i, t in enumerate(key_types)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([self.n[k] for k in part], pa.int64()), pa.array(out, pa.binary())], names=names)
+        for d in (self.n, self.few, self.size, self.many):
+            d.clear()
+        self.held = 0
+
+
+def _added(parts: DataFrame, group: list[str]) -> DataFrame:
+    """Sketches added up to one per ``group``, as a stream over sorted partial sketches."""
     src = parts.select(*group, "n", "sketch").repartition(*group).sortWithinPartitions(*group)
     nk = len(group)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields: list[pa.Field] = []
-        keys_: list[list] = []  # up to CHUNK groups at a time
-        ns: list[int] = []
-        total = np.zeros((CHUNK, CELLS), np.int64)
-        codes: list[tuple[int, np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def pour() -> None:
-            nonlocal held
-            if codes:
-                add(total, np.concatenate([np.full(len(c), g) for g, c, _ in codes]), np.concatenate([c for _, c, _ in codes]), np.concatenate([w for _, _, w in codes]))
-            codes.clear()
-            held = 0
-
-        def out() -> pa.RecordBatch:
-            pour()
-            cols = [pa.array([k[i] for k in keys_], fields[i].type) for i in range(nk)]
-            rec = pa.RecordBatch.from_arrays([*cols, pa.array(ns, pa.int64()), pa.array([to_bytes(total[i]) for i in range(len(keys_))], pa.binary())], names=[*group, "n", "sketch"])
-            keys_.clear()
-            ns.clear()
-            total[:] = 0
-            return rec
-
+        held = _Held(OPEN_GROUPS)
+        types: list[pa.DataType] = []
         for b in batches:
-            fields = [b.schema.field(i) for i in range(nk)]
+            types = [b.schema.field(i).type for i in range(nk)]
             for *k, m, s in zip(*(b.column(i).to_pylist() for i in range(nk + 2))):
-                if not keys_ or keys_[-1] != k:
-                    if len(keys_) == CHUNK:
-                        yield out()
-                    keys_.append(k)
-                    ns.append(0)
-                ns[-1] += m
-                if s[0]:
-                    total[len(keys_) - 1] += from_bytes(s)
-                else:
-                    c, w = _codes_from_bytes(s)
-                    codes.append((len(keys_) - 1, c, w))
-                    held += len(c)
-                    if held > 200_000:
-                        pour()
-        if keys_:
-            yield out()
+                # sorted: a new group means that all groups held are whole
+                if held.full(tuple(k)):
+                    yield from held.batches([*group, "n", "sketch"], types)
+                held.sketch(tuple(k), s, m)
+        if types:
+            yield from held.batches([*group, "n", "sketch"], types)
 
     return src.mapInArrow(run, src.schema)
 
 
+def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sketches added up to one per (keys..., metric); those of a ``block``, if there is such a column, first."""
+    group = [*keys, "metric"]
+    return _added(_added(parts, [*group, "block"]) if "block" in parts.columns else parts, group)
+
+
 def answers(sk: DataFrame, qs: tuple[float, ...] = QUANTILES) -> DataFrame:
     """Each sketch's percentiles as columns p05, p25, ... in place of the sketch."""
     names = [f"p{round(q * 100):02d}" for q in qs]
@@ -281,7 +323,7 @@ def answers(sk: DataFrame, qs: tuple[float, ...] = QUANTILES) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 128):
                 part = b.slice(at, 128)
-                v = quantiles(np.stack([from_bytes(s) for s in part.column(len(rest)).to_pylist()]), qs)
+                v = quantiles(counters_of(part.column(len(rest)).to_pylist()), qs)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, pa.float64(), mask=np.isnan(c)) for c in v.T)], names=[*(f.name for f in rest), *names])
 
     return src.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + [f"{n} double" for n in names]))

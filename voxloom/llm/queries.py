@@ -66,7 +66,9 @@ def p4_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     from voxloom.runtime import durable
 
     days = durable(_day_sketches(spark, sf), "day-sketches")
-    whole = quantiles.merged(days.select("source_folder", "metric", "n", "sketch"), ["source_folder"]).withColumn("day", F.lit(None).cast("date"))
+    # the days of a month first
+    months = days.select("source_folder", "metric", "n", "sketch", F.coalesce(F.trunc("day", "month"), F.lit("0001-01-01").cast("date")).alias("block"))
+    whole = quantiles.merged(months, ["source_folder"]).withColumn("day", F.lit(None).cast("date"))
     return quantiles.answers(days.unionByName(whole))
 
 
