@@ -290,6 +290,22 @@ def test_marks_on_look_alikes(spark):
     assert [tuple(r) for r in L.same_look_pairs(df, "id", "text", "part").collect()] == [("p", "1", "2")]
 
 
+def test_skeletons_of_all_scripts(spark):
+    """Texts of any script are spread, and equal encodings have one key."""
+    texts = ["你好", "再见", "สวัสดี", "さようなら", "がぎぐ", "안녕하세요", "Привет, йод", "μύλος", "नमस्ते क़लम", "مرحبا", "ộ"]
+    rows = [(i, f, unicodedata.normalize(f, t)) for i, t in enumerate(texts) for f in ("NFC", "NFD")]
+    got = spark.createDataFrame(rows, "i int, f string, t string").select("i", L.skeleton(L.mapped(F.col("t"))).alias("s")).distinct().collect()
+    assert len(got) == len(texts) == len({x.s for x in got})
+
+
+def test_pairs_of_a_hot_text(spark):
+    """One text with copies in a third of all rows and one variant: as many pairs as copies."""
+    df = spark.range(3000).selectExpr("cast(id as string) AS id", "if(id % 3 = 0, 'một hai', concat('câu ', id)) AS text", "'p' AS part")
+    df = df.unionByName(spark.createDataFrame([("v", "một  hai", "p"), ("w", "một\u00a0hai", "p")], "id string, text string, part string"))
+    got = L.same_look_pairs(df, "id", "text", "part")
+    assert got.count() == 2001 and got.where("id_b = 'w'").count() == 1001
+
+
 # 6 --------------------------------------------------------------------------------------------------------------
 
 WORDS = "file_id string, index int, text string, start double, end double, type string, speaker_id string, logprob double, run string"

@@ -86,10 +86,10 @@ def _ordered(t: Column) -> Column:
 
 
 def skeleton(t: Column) -> Column:
-    """A key that is equal for all members of a class whatever their encoding: the mapped text without marks, hashed."""
+    """A key that is equal for all members of a class whatever their encoding: the letters of the mapped text without their marks, hashed."""
     base = _bases()
     s = F.translate(t, "".join(base), "".join(base.values()))
-    return F.xxhash64(F.regexp_replace(s, "[^\\x00-\\x7f]+", ""))
+    return F.xxhash64(F.regexp_replace(s, "[\\p{M}\u1160-\u11ff]+", ""))
 
 
 @functools.cache
@@ -101,11 +101,11 @@ def _plain() -> str:
 
 @functools.cache
 def _bases() -> dict[str, str]:
-    """By rule: precomposed Latin letters with their base letter."""
+    """By rule: every letter of any script that has a canonical decomposition, with what it begins with; a Hangul syllable begins with its first consonant."""
     out = {}
-    for i in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+    for i in [*range(0xC0, 0xD800), *range(0xF900, 0xFB50), *range(0x11000, 0x11A00), *range(0x1D100, 0x1D200), *range(0x2F800, 0x2FA20)]:
         d = unicodedata.normalize("NFD", c := chr(i))
-        if len(d) > 1 and d[0].isascii():
+        if d != c and not unicodedata.category(d[0]).startswith("M"):
             out[c] = d[0]
     return out
 
@@ -148,16 +148,24 @@ def _keys(name: str) -> list[Column]:
 def same_look_pairs(rows: DataFrame, id_: str, text: str, part: str) -> DataFrame:
     """(part, id_a, id_b), id_a < id_b: ids of one part whose texts look the same but are not the same string.
 
-    Distinct rows. Only classes with two different strings or more go on; a
-    class of nothing but exact copies never forms a pair. Ids that are null
-    take no part. Two texts of one id form no pair.
+    Distinct rows. Only classes with two different strings or more go on, and
+    different strings are paired before ids are put to them: a text with N copies
+    and one variant costs N rows. Ids that are null take no part, a null part is
+    a part. Two texts of one id form no pair.
     """
     multi = classes(rows, text, part).where("variants > 1").select(F.col("part").alias("p"), *_keys("text"), F.xxhash64("canonical").alias("class"), "skeleton")
+    multi = durable(multi, "same-look")
+    # pairs of different texts first, so copies of a text never meet one another
+    a, b = (multi.select("p", "class", "skeleton", F.col("k1").alias(f"k1_{x}"), F.col("k2").alias(f"k2_{x}")) for x in "ab")
+    texts = a.join(b, (a.p.eqNullSafe(b.p)) & (a["class"] == b["class"]) & (a.skeleton == b.skeleton) & (F.struct("k1_a", "k2_a") < F.struct("k1_b", "k2_b")))
+    texts = texts.select(a.p, "k1_a", "k2_a", "k1_b", "k2_b")
     base = rows.where(F.col(text).isNotNull() & F.col(id_).isNotNull()).select(F.col(part).alias("part"), F.col(id_).alias("id"), *_keys(text)).distinct()
-    m = durable(base.join(multi, (base.part == multi.p) & (base.k1 == multi.k1) & (base.k2 == multi.k2)).select("part", "class", "skeleton", "id", base.k1, base.k2), "same-look")
-    a, b = (m.select("part", "class", "skeleton", F.col("id").alias(f"id_{x}"), F.col("k1").alias(f"k1_{x}"), F.col("k2").alias(f"k2_{x}")) for x in "ab")
-    pairs = a.join(b, ["part", "class", "skeleton"]).where("id_a < id_b AND (k1_a <> k1_b OR k2_a <> k2_b)")
-    return pairs.select("part", "id_a", "id_b").distinct()
+    own = base.join(multi.select("p", "k1", "k2"), (base.part.eqNullSafe(F.col("p"))) & (base.k1 == multi.k1) & (base.k2 == multi.k2), "left_semi")
+    own = durable(own.select("part", "id", "k1", "k2"), "same-look-ids")
+    left, right = (own.select(F.col("part").alias(f"part_{x}"), F.col("id").alias(f"id_{x}"), F.col("k1").alias(f"i1_{x}"), F.col("k2").alias(f"i2_{x}")) for x in "ab")
+    j = texts.join(left, F.col("p").eqNullSafe(F.col("part_a")) & (F.col("k1_a") == F.col("i1_a")) & (F.col("k2_a") == F.col("i2_a")))
+    j = j.join(right, F.col("p").eqNullSafe(F.col("part_b")) & (F.col("k1_b") == F.col("i1_b")) & (F.col("k2_b") == F.col("i2_b"))).where("id_a <> id_b")
+    return j.select(F.col("p").alias("part"), F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
 
 
 # The same form for code that already runs in Python.
