@@ -438,6 +438,17 @@ def test_packing_is_tight(spark):
     assert packing.pack(df.limit(0), TIERS).isEmpty() and packing.pack(df, []).isEmpty()
 
 
+def test_packing_of_copies_and_nulls(spark):
+    """One document in a third of all rows is spread over shards; null ids are packed."""
+    df = spark.range(600).selectExpr("if(id % 3 = 0, 10007, id) AS doc_id", "if(id % 3 = 0, 50L, 20L + id % 40) AS n_tokens")
+    df = df.unionByName(spark.createDataFrame([(None, 30), (None, 31), (5000, None), (5001, 0)], "doc_id long, n_tokens long")).withColumn("shard", F.lit(1))
+    p = packing.pack(df, [("s", 64), ("l", 256)], shard_tokens=2000).persist()
+    assert p.agg(F.sum("n_tokens")).first()[0] == df.agg(F.sum("n_tokens")).first()[0]
+    assert p.where("doc_id IS NULL").count() == 2 and p.where("doc_id = 10007").count() == 200
+    per = [r["count"] for r in p.where("doc_id = 10007").groupBy("shard").count().collect()]
+    assert len(per) > 8 and max(per) < 60 and packing.containers(p).where("unused_tokens < 0").isEmpty()
+
+
 # 8 --------------------------------------------------------------------------------------------------------------
 
 

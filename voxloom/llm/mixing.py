@@ -52,14 +52,14 @@ def thresholds(placed: DataFrame, budget: DataFrame) -> DataFrame:
     Documents of the last bucket are taken in order of place as long as they
     fit; those that share a place (about 2^-48) are taken or left together.
     """
-    todo = F.broadcast(budget.select("source", "rest"))  # one row per row of the fixed target table
+    todo = budget.select("source", "rest")
     found = None
     for level in range(_LEVELS):
         shift = BITS * (_LEVELS - 1 - level)
         last = level == _LEVELS - 1
-        at = placed if found is None else placed.join(F.broadcast(found), "source").where(F.shiftright("place", shift + BITS) == F.col("prefix"))
+        at = placed if found is None else placed.join(found, "source").where(F.shiftright("place", shift + BITS) == F.col("prefix"))
         hist = at.groupBy("source", F.shiftright("place", shift).alias("bucket")).agg(F.sum("n_tokens").alias("n"))
-        hist = hist.join(todo, "source") if found is None else hist.join(F.broadcast(found), "source")
+        hist = hist.join(todo, "source") if found is None else hist.join(found, "source")
         before = F.lit(0).cast("bigint") if found is None else F.col("below")
         by = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
         run = hist.withColumn("upto", before + F.sum("n").over(by))
@@ -84,7 +84,7 @@ def mix(sized: DataFrame, targets: DataFrame, fraction: float = 1.0) -> DataFram
     placed = durable(places(sized), "places")
     b = durable(budgets(placed, targets, fraction), "budgets")
     t = thresholds(placed, b)
-    plan = F.broadcast(b.join(t.select("source", "threshold"), "source").select("source", "whole", "threshold"))  # one row per target source
+    plan = b.join(t.select("source", "threshold"), "source").select("source", "whole", "threshold")
     m = placed.join(plan, "source").withColumn("uses", F.col("whole") + F.when(F.col("place") <= F.col("threshold"), 1).otherwise(0))
     return m.where("uses > 0").select("doc_id", "source", "n_tokens", "uses")
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from voxloom.runtime import durable
 
+COPIES = 10_000  # of one document that are numbered at once
 SHARD_TOKENS = 20_000_000
 STEP_CONTAINERS = 8
 
@@ -100,21 +101,27 @@ def pack(sizes: DataFrame, tiers: list[tuple[str, int]], shard_tokens: int = SHA
     """Where every piece of every document lies: one row per piece (see _PLACED).
 
     ``sizes``: (doc_id, n_tokens). Documents without tokens (null, empty) need
-    no room and have no row. A repeated doc_id is packed as often as it occurs.
+    no room and have no row. A repeated doc_id is packed as often as it occurs,
+    its copies spread over all shards; a null doc_id is a document too.
     ``tiers`` is a fixed short table; without one, or without documents, there are no rows.
     """
     spark = sizes.sparkSession
-    sized = durable(sizes.select(F.col("doc_id"), F.col("n_tokens")).where("n_tokens > 0"), "sizes")
+    # equal rows are counted, and numbered in blocks: copies are no more in one shard than other documents
+    counted = sizes.select(F.col("doc_id"), F.col("n_tokens")).where("n_tokens > 0").groupBy("doc_id", "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
+    blocks = counted.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES))))
+    copy = F.explode(F.sequence(F.col("b") * COPIES, F.least((F.col("b") + 1) * COPIES, F.col("copies")) - 1))
+    sized = durable(blocks.select("doc_id", "n_tokens", copy.alias("copy")), "sizes")
     total = sized.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     if not tiers or not total:
         return spark.createDataFrame([], _PLACED)
     shards = max(1, round(total / shard_tokens))
     tasks = max(1, min(shards, 20_000))
-    by_shard = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartition(tasks, "shard").sortWithinPartitions("shard", "doc_id")
+    by_shard = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(shards)).cast("int")).drop("copy").repartition(tasks, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens")
     schema = pa.schema([("shard", pa.int32()), ("pack_name", pa.string()), ("capacity_tokens", pa.int32()), ("container_no", pa.int32()), ("step_group", pa.int32()), ("doc_id", pa.int64()), ("piece_no", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int32()), ("position", pa.int32())])
 
-    def emit(shard: int, ids: list[np.ndarray], ns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = pack_shard(list(zip(np.concatenate(ids).tolist(), np.concatenate(ns).tolist())), tiers, step)
+    def emit(shard: int, ids: list, ns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # documents go by their place in the sorted shard, so an id may be null
+        rows = [(*r[:4], ids[r[4]], *r[5:]) for r in pack_shard(list(enumerate(np.concatenate(ns).tolist())), tiers, step)]
         for i in range(0, len(rows), 50_000):
             cols = list(zip(*rows[i : i + 50_000]))
             arrays = [pa.array([shard] * len(cols[0]), pa.int32()), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:]))]
@@ -123,7 +130,8 @@ def pack(sizes: DataFrame, tiers: list[tuple[str, int]], shard_tokens: int = SHA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ids, ns = None, [], []
         for b in batches:
-            shard, doc, n = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("shard", "doc_id", "n_tokens"))
+            shard, n = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("shard", "n_tokens"))
+            doc = b.column(b.schema.get_field_index("doc_id")).to_pylist()
             for part in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
                 if not len(part):
                     continue
@@ -131,7 +139,7 @@ def pack(sizes: DataFrame, tiers: list[tuple[str, int]], shard_tokens: int = SHA
                     yield from emit(now, ids, ns)
                     ids, ns = [], []
                 now = int(shard[part[0]])
-                ids.append(doc[part])
+                ids.extend(doc[part[0] : part[-1] + 1])
                 ns.append(n[part])
         if now is not None:
             yield from emit(now, ids, ns)

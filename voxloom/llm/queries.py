@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxloom.llm import lookalike, mixing, packing, quality, quantiles, repetition, tokens, truncation, turns
-from voxloom.runtime import table
+from voxloom.runtime import durable, table
 
 METRICS = ["sample_rate", "channels", "rms_dbfs", "peak_dbfs", "clipping_ratio", "silence_ratio", "leading_silence_sec", "trailing_silence_sec", "spectral_flatness", "high_freq_energy_ratio"]
 
@@ -63,8 +63,6 @@ def _day_sketches(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """Per source and day, and (day null) per source over the whole period, the latter by adding up the days' sketches."""
-    from voxloom.runtime import durable
-
     days = durable(_day_sketches(spark, sf), "day-sketches")
     # the days of a month first
     months = days.select("source_folder", "metric", "n", "sketch", F.coalesce(F.trunc("day", "month"), F.lit("0001-01-01").cast("date")).alias("block"))
@@ -84,6 +82,23 @@ def p4_without_copies(spark: SparkSession, sf: str) -> DataFrame:
     return quantiles.answers(quantiles.merged(functools.reduce(DataFrame.unionByName, parts), ["source_folder"]))
 
 
+def p4_rank_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether every percentile of the whole period is within a rank of 2 % (or one value) of the true one; exact counts."""
+    ans = p4_percentiles(spark, sf).where("day IS NULL").drop("day")
+    q = table(spark, sf, "quality_metrics").select("source_folder", *METRICS)
+    a = table(spark, sf, "accepted").select("source_folder", F.col("duration").alias("accepted_duration"))
+    values = functools.reduce(DataFrame.unionByName, [t.unpivot("source_folder", [c for c in t.columns if c != "source_folder"], "metric", "v") for t in (q.select("source_folder", *[F.col(m).cast("double").alias(m) for m in METRICS]), a)])
+    values = values.where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
+    x = values.join(ans.withColumnRenamed("n", "said"), ["source_folder", "metric"])
+    names = [f"p{round(p * 100):02d}" for p in quantiles.QUANTILES]
+    near = lambda c: F.abs(F.col(c)) * 2.0**-10 + 1e-30
+    counts = [y for c in names for y in (F.count_if(F.col("v") < F.col(c) - near(c)).alias(f"lo_{c}"), F.count_if(F.col("v") <= F.col(c) + near(c)).alias(f"hi_{c}"))]
+    g = x.groupBy("source_folder", "metric").agg(F.count(F.lit(1)).alias("n"), F.max("said").alias("said"), *counts)
+    rank = {c: F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))) for c, p in zip(names, quantiles.QUANTILES)}
+    off = F.greatest(*[F.greatest(F.col(f"lo_{c}") + 1 - r, r - F.col(f"hi_{c}")) for c, r in rank.items()])
+    return g.select("source_folder", "metric", "n", (F.col("n") == F.col("said")).alias("counted"), (off <= F.greatest(F.lit(1.0), 0.02 * F.col("n"))).alias("within"))
+
+
 # 5 --------------------------------------------------------------------------------------------------------------
 
 
@@ -121,9 +136,12 @@ def p6_turns(spark: SparkSession, sf: str) -> DataFrame:
 # 7 --------------------------------------------------------------------------------------------------------------
 
 
+def _tiers(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
+    return [(r[0], r[1]) for r in _fixed(table(spark, sf, "pack_capacities"), "pack_name", "capacity_tokens") if r[0] is not None and r[1] and r[1] > 0]
+
+
 def _placed(spark: SparkSession, sf: str) -> DataFrame:
-    tiers = [(r[0], r[1]) for r in _fixed(table(spark, sf, "pack_capacities"), "pack_name", "capacity_tokens") if r[0] is not None and r[1] and r[1] > 0]
-    return packing.pack(tokens.sizes(table(spark, sf, "documents"), ["doc_id"]), tiers)
+    return packing.pack(tokens.sizes(table(spark, sf, "documents"), ["doc_id"]), _tiers(spark, sf))
 
 
 def p7_contents(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,6 +156,21 @@ def p7_report(spark: SparkSession, sf: str) -> DataFrame:
     return packing.report(_placed(spark, sf))
 
 
+def p7_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Of all documents with text: containers over capacity, documents whose tokens are not all placed once, in order, and those split although they fit."""
+    sized = durable(tokens.sizes(table(spark, sf, "documents"), ["doc_id"]), "sizes")
+    tiers = _tiers(spark, sf)
+    placed = durable(packing.pack(sized, tiers), "placed")
+    over = packing.containers(placed).agg(F.count_if(F.col("used_tokens") > F.col("capacity_tokens")).alias("overfull"))
+    most = max(c for _, c in tiers)
+    d = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("got"), F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece_no").alias("numbers"), F.max("piece_no").alias("last"), F.count_if(F.col("first_token") != F.col("piece_no").cast("bigint") * most).alias("misplaced"))
+    d = sized.where("n_tokens > 0").join(d, "doc_id", "left")
+    whole = F.coalesce((F.col("got") == F.col("n_tokens")) & (F.col("numbers") == F.col("pieces")) & (F.col("last") + 1 == F.col("pieces")) & (F.col("misplaced") == 0), F.lit(False))
+    d = d.agg(F.count(F.lit(1)).alias("documents"), F.count_if(~whole).alias("not_whole"), F.count_if(F.col("pieces") > F.ceil(F.col("n_tokens") / most)).alias("split"))
+    long = lambda x: x.unpivot([], x.columns, "what", "n")
+    return long(d).unionByName(long(over))
+
+
 # 8 --------------------------------------------------------------------------------------------------------------
 
 
@@ -153,6 +186,19 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(_mixed(spark, sf), table(spark, sf, "mix_targets"))
 
 
+def p8_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Per target source: whether its tokens stay within its budget and miss it by less than its largest document; uses beyond the limit; documents of a half as large mix that are not in the whole one."""
+    sized = durable(tokens.sizes(table(spark, sf, "documents"), ["doc_id", "source"]), "sizes")
+    targets = table(spark, sf, "mix_targets")
+    whole, half = (durable(mixing.mix(sized, targets, f), "mix") for f in (1.0, 0.5))
+    budget = mixing.budgets(mixing.places(sized), targets).select("source", "share", "budget", "max_repeats")
+    got = whole.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("got"), F.max("uses").alias("uses"))
+    most = sized.groupBy("source").agg(F.max("n_tokens").alias("most"))
+    lost = half.join(whole.select("doc_id", "source", F.col("uses").alias("more")), ["doc_id", "source"], "left").where("more IS NULL OR more < uses").groupBy("source").agg(F.count(F.lit(1)).alias("lost"))
+    x = budget.join(got, "source", "left").join(most, "source", "left").join(lost, "source", "left").fillna(0, ["got", "uses", "lost"])
+    return x.select("source", F.round("share", 9).alias("target_share"), ((F.col("got") <= F.col("budget")) & (F.col("budget") - F.col("got") < F.col("most"))).alias("within"), F.greatest(F.col("uses") - F.col("max_repeats"), F.lit(0)).cast("bigint").alias("uses_beyond"), F.col("lost").alias("not_nested"))
+
+
 # 9 --------------------------------------------------------------------------------------------------------------
 
 
@@ -172,7 +218,7 @@ def p9_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries; of a problem without a ``_found`` the first is the one to measure."""
-    return {f.__name__: f for f in (p1_found, p1_repetition, p2_found, p2_by_source, p4_percentiles, p4_without_copies, p5_found, p5_canonical, p6_found, p6_turns, p7_contents, p7_containers, p7_report, p8_mix, p8_shares, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_repetition, p2_found, p2_by_source, p4_percentiles, p4_without_copies, p4_rank_errors, p5_found, p5_canonical, p6_found, p6_turns, p7_contents, p7_containers, p7_report, p7_violations, p8_mix, p8_shares, p8_violations, p9_found, p9_statistics)}
 
 
 # SQL ------------------------------------------------------------------------------------------------------------
@@ -204,7 +250,14 @@ WITH t AS (SELECT DISTINCT 'raw_transcripts' AS table_name, id, text FROM raw_tr
            UNION SELECT DISTINCT 'cleaned_transcripts', id, cleaned_text FROM cleaned_transcripts WHERE cleaned_text IS NOT NULL),
 f AS (SELECT *, {_folded('text')} AS look FROM t)
 SELECT DISTINCT a.table_name, a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.table_name = b.table_name AND a.look = b.look AND a.text <> b.text AND a.id < b.id"""
-    return {"p1_found": p1, "p5_found": p5, "p6_found": _P6.replace("{folded}", _folded("text"))}
+    finite = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in METRICS)
+    p4 = f"""
+WITH u AS (SELECT source_folder, metric, v FROM (UNPIVOT (SELECT source_folder, {finite} FROM quality_metrics) ON {', '.join(METRICS)} INTO NAME metric VALUE v)
+           UNION ALL SELECT source_folder, 'accepted_duration', duration FROM accepted)
+SELECT source_folder, metric, count(*) AS n, true AS counted, true AS within FROM u WHERE isfinite(v) GROUP BY 1, 2"""
+    p7 = "SELECT what, n * (SELECT count(*) FROM documents WHERE length(text) > 0) AS n FROM (VALUES ('documents', 1), ('not_whole', 0), ('split', 0), ('overfull', 0)) v(what, n)"
+    p8 = "SELECT source, round(target_share / sum(target_share) OVER (), 9) AS target_share, true AS within, 0 AS uses_beyond, 0 AS not_nested FROM mix_targets WHERE target_share > 0 AND source IN (SELECT source FROM documents WHERE length(text) > 0)"
+    return {"p4_rank_errors": p4, "p7_violations": p7, "p8_violations": p8, "p1_found": p1, "p5_found": p5, "p6_found": _P6.replace("{folded}", _folded("text"))}
 
 
 _P6 = r"""
