@@ -92,7 +92,7 @@ def test_bands_meet_similar_texts():
     for _ in range(200):
         d = [r.getrandbits(32) for _ in range(60)]
         a, b = truncation.bands([d, d[:52]])
-        hit += bool((a == b).any())
+        hit += bool((a == b)[: truncation.BANDS].any())
     assert hit >= 190
 
 
@@ -170,11 +170,11 @@ def test_early_ends_of_a_hot_group(spark):
     df = spark.createDataFrame([(0, str(i), "s", t) for i, t in enumerate(texts)], "tbl int, id string, source string, text string")
     rows = df.repartition(2).mapInArrow(truncation._read, truncation._SCHEMA).where("kind = 0").cache()
     bands = {x.id: x.bands for x in rows.collect()}
-    meet = lambda i, j: any(a == b for a, b in zip(bands[str(i)], bands[str(j)]))
+    meet = lambda i, j: any(a == b for a, b in zip(bands[str(i)][:-1], bands[str(j)][:-1]))
     want = {str(i) for i, x in enumerate(docs) if any(i != j and texts[i] != texts[j] and meet(i, j) and ends_early(x, y) for j, y in enumerate(docs))}
     assert len(want) >= 30
     for part_chars in ((), (20_000,)):
-        got = {x.id for x in truncation.early_ends(rows, *part_chars).join(rows, ["k1", "k2"]).select("id").collect()}
+        got = {x.id for x in truncation.early_ends(rows, *part_chars).where("near").join(rows, ["k1", "k2"]).select("id").collect()}
         assert got == want
 
 
@@ -200,6 +200,38 @@ def test_limits_of_small_sources(spark):
     assert {x[1:] for x in limit_rows(spark, [("ascii", (long(200).replace("ă", "a") + "a" * 120)[:120]) for _ in range(15)])} == {("chars", 120), ("bytes", 120)}
 
 
+def test_contained_in_a_fuller_text(spark):
+    """A text cut to half or a fifth is found by its beginning; not one that ends where a sentence may, nor a short one."""
+    r = random.Random(7)
+    words = ["".join(r.choices("abcdeghiklmnotu", k=5)) for _ in range(300)]
+    full = [r.choices(words, k=60) for _ in range(60)]
+    rows = [(f"c{i}", " ".join(w[: 30 if i % 2 else 14])[: -2 if i % 3 else None], "s") for i, w in enumerate(full)]
+    rows += [("short", " ".join(full[0][:9]), "s")]
+    raw = [(" ".join(w[:8] + ["khác"] + w[9:]) if i % 4 == 3 else " ".join(w),) for i, w in enumerate(full)]
+    df, copies = spark.createDataFrame(rows, "id string, t string, source string"), spark.createDataFrame(raw, "text string")
+    j = {x.id: x for x in truncation.judge(df, "id", "t", "source", copies).collect()}
+    missed = [i for i in range(60) if not (j[f"c{i}"].early or j[f"c{i}"].terminality >= 0.5)]
+    read = spark.createDataFrame([(0, i, "s", t) for i, t, _ in rows] + [(1, None, None, t) for (t,) in raw], "tbl int, id string, source string, text string").mapInArrow(truncation._read, truncation._SCHEMA).where("kind = 0").cache()
+    met = {x.id for x in truncation.early_ends(read).join(read, ["k1", "k2"]).select("id").collect()}
+    # one changed word in the opening of a fourth leaves the band for containment a chance of about a third
+    assert not missed and {f"c{i}" for i in range(60) if i % 4 != 3} <= met and "short" not in met
+
+
+def test_no_caps(spark):
+    """Long sound notes, long phrases that loop, short torn texts."""
+    note = "[" + "tiếng mưa rơi trên mái " * 12 + "]"
+    rows = list(truncation._read(iter([__import__("pyarrow").RecordBatch.from_pydict({"tbl": [1], "id": ["1"], "source": ["s"], "text": [f"xin {note} chào"]})])))
+    assert rows[0].column("words").to_pylist() == ["xin chào"]
+    phrase = [f"w{i}" for i in range(40)]
+    assert truncation.looped(["a"] + phrase * 3) and not truncation.looped(["a"] + phrase * 2) and truncation.looped(list("xabab" "ab")) and not truncation.looped(["a", "b", "a", "a"])
+    r = random.Random(4)
+    df = spark.createDataFrame([(f"m{i}", sentences(r, True), "s") for i in range(300)] + [("torn", "cô giáo sửa ch", "s"), ("call", "cô giáo ơi", "s")], "id string, t string, source string")
+    cut = {x.id for x in truncation.judge(df, "id", "t", "source").where("cut").collect()}
+    assert cut == {"torn"}
+    short = [("s", ("".join(r.choice("abcdeghiklm ") for _ in range(60)))[:20]) for _ in range(40)] + [("s", ("".join(r.choice("abcdeghiklm ") for _ in range(60)) * 4)[: r.randint(30, 200)]) for _ in range(100)]
+    assert ("s", "chars", 20) in limit_rows(spark, short)
+
+
 # 4 --------------------------------------------------------------------------------------------------------------
 
 

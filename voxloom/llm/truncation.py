@@ -2,7 +2,11 @@
 
 Method: near-copies are found through min-hash banding, verified pairs are
 aligned, and the copy whose alignment ends early is flagged; records without
-such a copy are scored by the terminality of their closing words.
+such a copy are scored by the terminality of their closing words. A text that
+lost much is no near-copy of its whole, so one band is drawn from the leading
+shingles alone; texts that meet there are verified by containment: so much of
+the shorter one must lie in the longer one. Another text may begin with a
+complete one by chance, so words that mostly close a sentence outweigh it.
 
 Terminality is learnt from all texts that punctuate: how often two words are
 followed by more speech, by the end of a sentence, or by a longer word that
@@ -14,7 +18,7 @@ recogniser kept repeating are no cut. Lengths at which a source's
 unfinished texts pile up are its limits (in characters or bytes); an unfinished
 text, or one that ends in an added ellipsis, is cut if it has such a length.
 A text whose last sentence is closed by a mark is complete, and an ellipsis
-elsewhere is speech that trails off.
+elsewhere is speech that trails off, unless a fuller copy goes on.
 
 One pass through Python reads all texts whole; after it only signatures, counts,
 endings and the texts of shared buckets are shuffled. Equal texts share one
@@ -42,10 +46,14 @@ from voxloom.runtime import durable
 
 # six bands of three find 98.6 % of the pairs of similarity 0.8
 BANDS, ROWS, SHINGLE, SIMILAR = 6, 3, 5, 0.8
+#: Leading shingles of the band for containment; a text of fewer, which another text may begin with by chance, has none.
+LEADING = 8
 #: Least share of ends among the places of closing words at which they count as an end: in a source that
 #: closes its sentences with marks (less than MARKED of its texts end without), and in one that does not.
 TERMINALITY_MARKED, TERMINALITY_PLAIN, MARKED = 0.6, 0.012, 0.2
-#: A text of so few words, or one that occurs as a whole in so many records, needs no mark to be complete.
+#: The same for a text that is contained in a fuller one.
+TERMINALITY_CONTAINED = 0.5
+#: A text of so few words, if the last one is whole, or one that occurs as a whole in so many records, needs no mark to be complete.
 CALL_WORDS, CALL_RECORDS = 4, 3
 #: A length is a limit if so many unfinished texts come with this chance in a source without limits, and if they are this many times the mean.
 LIMIT_ERROR, LIMIT_TIMES, LIMIT_NEAR = 1e-3, 12, 16
@@ -54,7 +62,8 @@ HELD = 200_000
 #: Characters of distinct texts of a bucket that a task holds at once.
 PART_CHARS = 2_000_000
 
-_SOUND = re.compile(r"\[[^\]\n]{0,80}\]|\([^)\n]{0,80}\)|<[^>\n]{0,80}>|♪[^♪\n]{0,80}♪|\*[^*\n]{0,80}\*|\{[^}\n]{0,80}\}")
+# an opening bracket ends the search for the closing one: linear in the text
+_SOUND = re.compile(r"\[[^\[\]\n]*\]|\([^()\n]*\)|<[^<>\n]*>|♪[^♪\n]*♪|\*[^*\n]*\*|\{[^{}\n]*\}")
 _ENDS = re.compile(r"[.?!…]+")
 _CLOSED = re.compile(r"[.?!。？！][\"”’»')\]]*\s*$")
 _ELLIPSIS = re.compile(r"(?:…|\.\.\.)[\"”’»')\]]*\s*$")
@@ -76,8 +85,21 @@ def closing(text: str) -> str:
 
 
 def looped(w: list[str]) -> bool:
-    """Whether the words end in a phrase of at most 12 words said three times or more."""
-    return any(w[-p:] == w[-2 * p : -p] == w[-3 * p : -2 * p] for p in range(1, min(12, len(w) // 3) + 1))
+    """Whether the words end in a phrase, of any length, said three times or more."""
+    if w.count(w[-1]) < 3:
+        return False
+    r = w[::-1]
+    z, left, right = [0] * len(r), 0, 0  # z[p]: how far r goes on as it began, from p on
+    for p in range(1, len(r)):
+        k = min(right - p, z[p - left]) if p < right else 0
+        while p + k < len(r) and r[k] == r[p + k]:
+            k += 1
+        z[p] = k
+        if p + k > right:
+            left, right = p, p + k
+        if k >= 2 * p:
+            return True
+    return False
 
 
 def shingle_hashes(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,14 +118,18 @@ def shingle_hashes(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bands(docs: list[list[int]]) -> np.ndarray:
-    """Band hashes (documents x BANDS)."""
+    """Band hashes (documents x (BANDS + 1)); the last one, of the leading shingles, is 0 where there are fewer than LEADING."""
     h, begin = shingle_hashes(docs)
-    out = np.zeros((len(docs), BANDS), np.uint64)
+    out = np.zeros((len(docs), BANDS + 1), np.uint64)
     with np.errstate(over="ignore"):
         for i in range(BANDS * ROWS):
             v = h * _A[i] + _B[i]
             v ^= v >> np.uint64(32)
             out[:, i // ROWS] = out[:, i // ROWS] * _M61 + np.minimum.reduceat(v * _M61, begin)
+        v = h * _A[0] + _B[1]
+        v ^= v >> np.uint64(32)
+    long = np.flatnonzero(np.diff(np.append(begin, len(h))) >= LEADING)
+    out[long, BANDS] = np.maximum(v[begin[long, None] + np.arange(LEADING)].min(1), 1)
     return out.view(np.int64)
 
 
@@ -172,7 +198,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = list(zip(*rows[at : at + 4000]))
             sig = bands(codes[at : at + 4000])
             arrays = [pa.array(col, f.type) for col, f in zip(part, _ARROW)]
-            arrays[12] = pa.ListArray.from_arrays(np.arange(0, sig.size + 1, BANDS, dtype=np.int32), sig.ravel())
+            arrays[12] = pa.ListArray.from_arrays(np.arange(0, sig.size + 1, BANDS + 1, dtype=np.int32), sig.ravel())
             yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
         if len(opened) > HELD:
             yield from counts()
@@ -206,7 +232,7 @@ def limits(texts: DataFrame) -> DataFrame:
     h = h.withColumn("mean", mean).withColumn("expected", F.greatest("mean", (F.greatest(*beside) + 1) / LIMIT_NEAR))
     log_chance = F.col("n") - F.col("expected") - F.col("n") * F.log(F.col("n") / F.col("expected"))
     rare = (F.col("n") > F.col("expected")) & (log_chance <= F.log(F.lit(LIMIT_ERROR) / F.col("longest")))
-    found = h.where(rare & (F.col("n") >= LIMIT_TIMES * F.col("mean")) & (F.col("size") >= 40))
+    found = h.where(rare & (F.col("n") >= LIMIT_TIMES * F.col("mean")))
     found = found.withColumn("higher", F.max("size").over(near.rangeBetween(1, 3)))
     found = durable(found.select("source", "unit", "size", "n", "other", "n_same", "higher"), "limits")
 
@@ -269,7 +295,8 @@ class _Bucket:
         self.texts.append((" " + text, bands_))
 
     def ends_early(self, text: str, bands_: list[int], band: int) -> bool:
-        """Whether ``text`` ends early in any text here; pairs that met in an earlier band were checked there."""
+        """Whether ``text`` ends early in any text here; near-copies that met in an earlier band were checked there."""
+        contained = band == BANDS
         last = " " + text[text.rfind(" ") + 1 :]
         x: list[str] = []
         sx: set[str] = set()
@@ -277,7 +304,9 @@ class _Bucket:
             # its last word must go on there, or stand before the end
             if not 0 <= y.find(last) < len(y) - len(last):
                 continue
-            if any(bands_[k] == other[k] for k in range(band)):
+            if contained and len(y) > len(text) + 1 and y.startswith(text, 1):
+                return True
+            if not contained and any(bands_[k] == other[k] for k in range(band)):
                 continue
             if not x:
                 x = text.split(" ")
@@ -286,6 +315,10 @@ class _Bucket:
                 words = y[1:].split(" ")
                 self.split[i] = words, _shingles(words)
             words, sy = self.split[i]
+            if contained:
+                if len(sx & sy) >= SIMILAR * len(sx) - 1e-9 and _goes_on(x, words):
+                    return True
+                continue
             if min(len(sx), len(sy)) < SIMILAR * max(len(sx), len(sy)) - 1e-9:
                 continue
             common = len(sx & sy)
@@ -295,7 +328,7 @@ class _Bucket:
 
 
 def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
-    """(k1, k2) of distinct unfinished texts of table 0 that end early in a verified near-copy of either table.
+    """(k1, k2, near) of distinct unfinished texts of table 0 that end early in a verified text of either table: in a near-copy, or one that contains them.
 
     Within a bucket each unfinished text is checked against all texts, until one
     shows it cut. Pairs are never rows: a bucket of more than ``part_chars``
@@ -303,34 +336,35 @@ def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """
     # the condition keeps both uses of these rows alike, so that they are shuffled once
     distinct = texts.where("k1 IS NOT NULL AND k2 IS NOT NULL").groupBy("k1", "k2").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
-    members = distinct.select("k1", "k2", "asked", F.length("words").cast("bigint").alias("n"), F.posexplode("bands").alias("band", "bucket"))
-    bucket = W.partitionBy("band", "bucket")
-    members = members.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("any", F.max("asked").over(bucket)).withColumn("parts", F.ceil(F.sum("n").over(bucket) / part_chars))
-    members = members.where("size > 1 AND any").select("band", "bucket", "k1", "k2", "parts")
-    m = members.join(distinct, ["k1", "k2"])
+    # slim rows: the band in the lowest bits of the bucket, the sign of the size for a text that is asked about
+    size = F.when(F.col("asked"), -F.length("words")).otherwise(F.length("words"))
+    bucket = F.shiftleft("bucket", 3).bitwiseOR(F.col("band").cast("bigint"))
+    members = distinct.select("k1", size.alias("n"), F.posexplode("bands").alias("band", "bucket")).where("band < %d OR bucket <> 0" % BANDS).select("k1", "n", bucket.alias("bucket"))
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.ceil(F.sum(F.abs("n")) / part_chars).alias("parts")).where("size > 1 AND least < 0").select("bucket", "parts")
+    m = members.join(crowded, "bucket").select("k1", "bucket", "parts").join(distinct, "k1")
     own = F.pmod("k2", "parts")
     m = m.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("asked"), F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).otherwise(F.array("own"))))
-    m = m.select("band", "bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "k2", "words", "bands")
+    m = m.select("bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "k2", "words", "bands")
     # of a part the texts it holds come first, then the unfinished ones that visit it
-    m = m.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part", F.desc("held"))
+    m = m.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, here, waiting, early = None, _Bucket(), [], []
 
         def settle() -> None:
-            early.extend((k1, k2) for k1, k2, text, bands_ in waiting if here.ends_early(text, bands_, now[0]))
+            early.extend((k1, k2, now[0] & 7 < BANDS) for k1, k2, text, bands_ in waiting if here.ends_early(text, bands_, now[0] & 7))
             waiting.clear()
 
         def out() -> pa.RecordBatch:
-            k1, k2 = zip(*early)
+            k1, k2, near = zip(*early)
             early.clear()
-            return pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], names=["k1", "k2"])
+            return pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(near)], names=["k1", "k2", "near"])
 
         for b in batches:
-            for band, key, part, held, asked, k1, k2, text, bands_ in zip(*(c.to_pylist() for c in b.columns)):
-                if now != (band, key, part):
+            for key, part, held, asked, k1, k2, text, bands_ in zip(*(c.to_pylist() for c in b.columns)):
+                if now != (key, part):
                     settle()
-                    now, here = (band, key, part), _Bucket()
+                    now, here = (key, part), _Bucket()
                 if held:
                     here.add(text, bands_)
                 if asked:
@@ -343,7 +377,7 @@ def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
         if early:
             yield out()
 
-    return m.mapInArrow(run, "k1 bigint, k2 bigint").distinct()
+    return m.mapInArrow(run, "k1 bigint, k2 bigint, near boolean").groupBy("k1", "k2").agg(F.max("near").alias("near"))
 
 
 def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame | None = None, copy_text: str = "text") -> DataFrame:
@@ -352,8 +386,9 @@ def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame
     ``copies``: further texts that may be fuller copies. Repeated rows are
     judged each. A null source is a source of its own. Texts that are null or
     without words are not listed: nothing shows that they were cut.
-    ``reason``: 'torn bytes', 'ends early in a near-copy', 'at the limit',
-    'inside a word or sentence', or null.
+    ``reason``: 'ends early in a near-copy' (a record with a fuller copy is
+    decided by it), 'torn bytes', 'at the limit', 'inside a word or sentence',
+    or null.
     """
     src = texts.select(F.lit(0).alias("tbl"), F.col(id_).cast("string").alias("id"), F.col(source).alias("source"), F.col(text).alias("text"))
     if copies is not None:
@@ -367,14 +402,14 @@ def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame
     by_bytes = lim.where("unit = 'bytes'").select(F.col("source").alias("_t"), F.col("size").alias("_b"))
     asked = own.where("closing <> 'closed'")
     asked = asked.join(by_chars, F.col("source").eqNullSafe(F.col("_s")) & (F.col("n_chars") == F.col("_c")), "left").join(by_bytes, F.col("source").eqNullSafe(F.col("_t")) & (F.col("n_bytes") == F.col("_b")), "left")
-    asked = asked.withColumn("at_limit", F.col("_c").isNotNull() | F.col("_b").isNotNull()).drop("_s", "_c", "_t", "_b")
+    # short calls pile up at a few lengths too: they are judged by their last word alone
+    asked = asked.withColumn("at_limit", (F.col("_c").isNotNull() | F.col("_b").isNotNull()) & (F.col("n_words") > CALL_WORDS)).drop("_s", "_c", "_t", "_b")
 
-    early = early_ends(rows).withColumn("early", F.lit(True))
-    asked = asked.join(early, ["k1", "k2"], "left").withColumn("early", F.coalesce("early", F.lit(False)))
+    asked = asked.join(early_ends(rows), ["k1", "k2"], "left")
 
     # records that are this text as a whole, and records that end so without a mark
-    open_ = asked.where("closing = 'open' AND NOT at_limit AND NOT early")
-    whole = open_.where("n_words <= 12").groupBy("k1", "k2").agg(F.count_distinct("id").alias("n_whole"))
+    open_ = asked.where("closing = 'open' AND NOT at_limit AND near IS NULL")
+    whole = open_.groupBy("k1", "k2").agg(F.count_distinct("id").alias("n_whole"))
     ends = open_.groupBy("w1", "w2").agg(F.count_distinct("id").alias("n_end"))
     marks = own.where(F.col("n_words") > CALL_WORDS).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     marks = marks.join(open_.where(F.col("n_words") > CALL_WORDS).groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("m")), F.col("source").eqNullSafe(F.col("_s")), "left")
@@ -385,15 +420,17 @@ def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame
     asked = asked.fillna(0, ["n_open", "n_closed", "n_longer", "n_end", "o1", "c1", "l1", "n_whole"]).fillna(False, ["marked"])
     seen = F.col("n_open") + F.col("n_closed") + F.col("n_longer")
     # closing words hardly seen together: the last word alone, which may be no word at all
-    alone = F.when((F.col("o1") + F.col("c1") == 0) & (F.col("l1") > 0) & (F.col("n_end") < CALL_RECORDS), 0.0).otherwise(1.0)
+    torn_word = (F.col("o1") + F.col("c1") == 0) & (F.col("l1") > 0) & (F.col("n_end") < CALL_RECORDS)
+    alone = F.when(torn_word, 0.0).otherwise(1.0)
     asked = asked.withColumn("terminality", F.when(seen >= 3, F.col("n_closed") / seen).when(seen > 0, (F.col("n_closed") + F.col("n_end")) / (seen + F.col("n_end"))).otherwise(alone))
+    asked = asked.withColumn("early", F.coalesce(F.col("near") | (F.col("terminality") < TERMINALITY_CONTAINED), F.lit(False)) & F.col("near").isNotNull())
     call = (F.col("n_words") <= CALL_WORDS) | (F.col("n_whole") >= CALL_RECORDS)
     least = F.when(F.col("marked"), TERMINALITY_MARKED).otherwise(TERMINALITY_PLAIN)
     reason = (
-        F.when(F.col("closing") == "torn", "torn bytes")
+        F.when(F.col("early"), "ends early in a near-copy")
+        .when(F.col("closing") == "torn", "torn bytes")
         .when(F.col("at_limit"), "at the limit")
-        .when((F.col("closing") == "open") & F.col("early"), "ends early in a near-copy")
-        .when((F.col("closing") == "open") & ~call & (F.col("terminality") < least), "inside a word or sentence")
+        .when((F.col("closing") == "open") & (~call | torn_word) & (F.col("terminality") < least), "inside a word or sentence")
     )
     cols = ["id", "source", "closing", "n_chars", "n_bytes", "at_limit", "early", "terminality"]
     judged = asked.withColumn("reason", reason).select(*cols, "reason")
