@@ -336,12 +336,12 @@ def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """
     # the condition keeps both uses of these rows alike, so that they are shuffled once
     distinct = texts.where("k1 IS NOT NULL AND k2 IS NOT NULL").groupBy("k1", "k2").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
-    # slim rows: the band in the lowest bits of the bucket, the sign of the size for a text that is asked about
-    size = F.when(F.col("asked"), -F.length("words")).otherwise(F.length("words"))
+    # slim rows: the band in the lowest bits of the bucket; no bucket is gathered, its texts are counted in parts
     bucket = F.shiftleft("bucket", 3).bitwiseOR(F.col("band").cast("bigint"))
-    members = distinct.select("k1", size.alias("n"), F.posexplode("bands").alias("band", "bucket")).where("band < %d OR bucket <> 0" % BANDS).select("k1", "n", bucket.alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.ceil(F.sum(F.abs("n")) / part_chars).alias("parts")).where("size > 1 AND least < 0").select("bucket", "parts")
-    m = members.join(crowded, "bucket").select("k1", "bucket", "parts").join(distinct, "k1")
+    members = distinct.select("k1", "k2", "asked", F.length("words").alias("n"), F.posexplode("bands").alias("band", "bucket")).where(f"band < {BANDS} OR bucket <> 0").select("k1", "k2", "asked", "n", bucket.alias("bucket"))
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("asked").alias("any"), F.ceil(F.sum("n") / part_chars).alias("parts")).where("size > 1 AND any").select("bucket", "parts")
+    # all columns are asked for here too, so that the texts are shuffled once for all three uses
+    m = members.where("n > 0 AND asked IS NOT NULL").select("k1", "k2", "bucket").join(crowded, "bucket").join(distinct, ["k1", "k2"])
     own = F.pmod("k2", "parts")
     m = m.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("asked"), F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).otherwise(F.array("own"))))
     m = m.select("bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "k2", "words", "bands")
@@ -397,7 +397,7 @@ def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame
     rows, counts = read.where("kind = 0"), read.where("kind = 1").select("w1", "w2", "n_open", "n_closed")
     own = rows.where("tbl = 0").select("id", "source", "k1", "k2", "closing", "n_chars", "n_bytes", "n_words", "w1", "w2")
 
-    lim = limits(own.distinct())
+    lim = limits(own)
     by_chars = lim.where("unit = 'chars'").select(F.col("source").alias("_s"), F.col("size").alias("_c"))
     by_bytes = lim.where("unit = 'bytes'").select(F.col("source").alias("_t"), F.col("size").alias("_b"))
     asked = own.where("closing <> 'closed'")
