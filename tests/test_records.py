@@ -1,5 +1,6 @@
 import io
 import json
+import random
 import wave
 
 import numpy as np
@@ -108,6 +109,29 @@ def test_merge_against_plain_fold(spark):
     assert {(x.file_id, x.start, x.end) for x in got.collect()} == want
 
 
+def test_fold_of_one_large_file(spark):
+    """A file with all the rows is folded and numbered in pieces, whatever the shards."""
+    r, at, rows = random.Random(3), 0.0, []
+    for _ in range(4000):
+        at += r.choice([0.1, 0.3, 0.4, 0.6])
+        rows.append(("f", round(at, 3), round(at + r.choice([0.5, 1.0, 2.0, 3.5]), 3)))
+        at = max(at, rows[-1][2] - r.choice([0.0, 0.2]))
+    df = spark.createDataFrame(rows, "file_id string, start double, end double")
+    got = [sorted(map(tuple, spans.number(spans.merge_short(df, shard_sec=x), shard_sec=x).collect())) for x in (7.0, 100.0, 1e9)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 500
+    pieces = spans._pieces(df, Spans(), 100.0).groupBy("piece").count().agg({"count": "max"}).first()[0]
+    assert pieces < 100
+
+
+def test_bad_spans(spark):
+    df = spark.createDataFrame([("f", 0.0, 1.0), ("f", -1.0, 1.0), ("f", 2.0, 1.0), ("f", None, 1.0), ("g", float("nan"), 2.0), ("g", 0.0, float("inf"))], "file_id string, start double, end double")
+    assert sorted(map(tuple, spans.bad_spans(df).collect())) == [("f", 4, 3), ("g", 2, 2)]
+    assert spans.check_spans(df.limit(1)).count() == 1
+    for i in range(1, 6):
+        with pytest.raises(Exception, match="not a span"):
+            spans.check_spans(spark.createDataFrame([df.collect()[i]], df.schema)).collect()
+
+
 def test_names_and_metadata(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a_2")], "i int, n string")
     assert [x.u for x in dataset.unique_names(df, "n", ["i"], "u").orderBy("i").collect()] == ["a", "a_2", "a_2_2"]
@@ -121,6 +145,23 @@ def test_names_and_metadata(spark):
     assert column(spark, "a//b/./c/", dataset.path_key) == "a/b/c" and column(spark, "data/raw/ Tin tức.mp3", T.safe_stem) == "Tin_t_c"
 
 
+def test_names_against_plain_rule(spark):
+    """Each row in order takes the first free name, as one pass over all rows would give them."""
+    r = random.Random(6)
+    rows = [(i, r.choice("xy"), r.choice(["a", "a", "b", "a_2", "a_3", "a_2_2", "a_02", "a_1", "b_2_x", "c_12", None])) for i in range(300)]
+    used, want = {"x": set(), "y": set()}, {}
+    for i, k, n in rows:
+        t, j = n, 2
+        while n is not None and t in used[k]:
+            t, j = f"{n}_{j}", j + 1
+        used[k].add(t)
+        want[i] = t
+    df = spark.createDataFrame(rows, "i int, k string, n string").repartition(5)
+    got = {x.i: x.u for x in dataset.unique_names(df, "n", ["i"], "u", ["k"]).collect()}
+    assert got == want
+    assert dataset.unique_names(df.limit(0), "n", ["i"], "u").isEmpty()
+
+
 def test_resume(spark):
     schema = "id string, audio_path string, text string, language string, avg_logprob double, no_speech_prob double, error string, line_no int"
     prev = spark.createDataFrame([("1", "a.wav", "old", "vi", None, None, None, 1), ("1", "a.wav", "new", "vi", None, None, None, 2), ("2", "b.wav", "x", "vi", None, None, "failed", 3), ("3", None, "three", "vi", None, None, None, 4), ("4", "other.wav", "four", "vi", None, None, None, 5)], schema)

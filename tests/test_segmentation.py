@@ -128,3 +128,14 @@ def test_runs_do_not_depend_on_shards(spark):
 def test_empty(spark):
     c = pipeline.segment_words(stream(spark, []), CFG)
     assert c.candidates.isEmpty() and c.stats.isEmpty()
+
+
+@pytest.mark.parametrize("last", [1e3, 1e8, 1e12, 1e300])
+def test_tokens_of_any_length(spark, last):
+    """A token that lasts for days overlaps the candidates inside it, and is two rows of the join."""
+    cands = spark.createDataFrame([("f", 1, 1, 100.0, 104.0, "a"), ("f", 1, 2, 5000.0, 5004.0, "a"), ("g", 1, 1, 0.0, 4.0, "a")], "file_id string, region long, segment int, raw_start double, raw_end double, speaker_id string")
+    rows = [("f", 0, "x", 50.0, last, "word", "b"), ("f", 1, "[cười]", 104.1, 104.5, "word", "a"), ("f", 2, "y", 90.0, 99.9, "word", "a"), ("g", 0, "z", 1.0, 2.0, "word", "a")]
+    toks = spark.createDataFrame(rows, "file_id string, index int, text string, start double, end double, type string, speaker_id string")
+    got = {(x.file_id, x.segment): x for x in S.neighbours(cands, toks).collect()}
+    assert got["f", 1].speaker_overlap == "mixed_speaker_overlap" and got["f", 1].risky_trailing and not got["f", 1].risky_leading
+    assert (("f", 2) in got) == (last > 5000) and not got["g", 1].audio_event_overlap

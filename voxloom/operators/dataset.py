@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from voxloom.functions import text as T
+from voxloom.runtime import durable
 
 
 def transcripts(manifest: DataFrame, segments: DataFrame, language: str = "vi") -> DataFrame:
@@ -91,21 +94,64 @@ def summary(accepted: DataFrame) -> DataFrame:
     return accepted.agg(n.alias("total_accepted"), F.round(total, 3).alias("total_duration_seconds"), F.round(total / 3600, 4).alias("total_duration_hours"), zero(total / F.nullif(n, F.lit(0))).alias("average_duration_seconds"), zero(F.min("duration")).alias("min_duration_seconds"), zero(F.max("duration")).alias("max_duration_seconds"))
 
 
+def _names(batches: Iterator[pa.RecordBatch], n_keys: int, at: int) -> Iterator[pa.RecordBatch]:
+    """Appends the unique name of the name in column ``at``; groups (the first ``n_keys`` columns) follow one another, in order.
+
+    Held are the different names of one group, not its rows: a suffixed name is
+    in use if its stem has gone past its number.
+    """
+    now, own, following = None, set(), {}
+
+    def used(x: str) -> bool:
+        stem, _, no = x.rpartition("_")
+        return x in own or (stem in following and no.isdecimal() and not no.startswith("0") and 2 <= int(no) < following[stem])
+
+    for b in batches:
+        out = []
+        for *key, name in zip(*(b.column(i).to_pylist() for i in (*range(n_keys), at))):
+            if now != key:
+                now, own, following = key, set(), {}
+            x = name
+            if used(x):
+                i = following.get(name, 2)
+                while used(x := f"{name}_{i}"):
+                    i += 1
+                following[name] = i + 1
+            else:
+                own.add(x)
+            out.append(x)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, "_unique"])
+
+
 def unique_names(df: DataFrame, name: str, order: list[str], out: str, within: list[str] | None = None) -> DataFrame:
-    """Adds ``out``: ``name``, or ``name_2``, ``name_3``, ... for its later occurrences, all different.
+    """Adds ``out``: ``name``, or the first of ``name_2``, ``name_3``, ... that no earlier row has, in the order given.
 
-    A suffixed name may meet another row's own name (a, a, a_2); such rows are
-    suffixed again until all differ. Rounds without a clash end the loop: one
-    is usual, and each works on names only.
+    Only names that occur twice have followers, and only names that such a
+    follower may be (a name and its numbered forms: a, a_2, a_2_2) depend on one
+    another. All other rows keep their names; those groups are read as sorted
+    streams. A null name is a name of its own without followers.
     """
     w = within or []
-    cur = df.withColumn("_n", F.col(name))
-    for _ in range(20):
-        k = F.row_number().over(W.partitionBy(*w, "_n").orderBy(*order))
-        cur = cur.withColumn("_k", k).withColumn("_n", F.when(F.col("_k") > 1, F.concat_ws("_", "_n", F.col("_k").cast("string"))).otherwise(F.col("_n"))).drop("_k")
-        if cur.groupBy(*w, "_n").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
-            return cur.withColumnRenamed("_n", out)
-    raise ValueError("names could not be made unique")
+    d = durable(df.withColumn("_n", F.col(name)), "names")
+    double = d.where("_n IS NOT NULL").groupBy(*w, "_n").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
+    # the stems of each different name, shortest first, that occur twice
+    names = d.where("_n IS NOT NULL").select(*w, "_n").distinct()
+    parts = F.split("_n", "_")
+    stems = F.filter(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "_")), lambda x: F.regexp_replace(F.substring(F.col("_n"), F.length(x) + 1, F.length("_n")), r"^(?:_(?:[2-9]|[1-9]\d+))*$", "") == "")
+    same = lambda a, b: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in w], F.lit(True))
+    chains = names.select(*w, "_n", F.explode(stems).alias("_stem"))
+    double = double.withColumnRenamed("_n", "_d")
+    heads = chains.join(double, same(chains, double) & (chains._stem == double._d)).groupBy(*[chains[k] for k in w], "_n").agg(F.min_by("_stem", F.length("_stem")).alias("_head"))
+    heads = heads.select(*[F.col(k).alias(f"_w_{k}") for k in w], F.col("_n").alias("_h"), "_head")
+    on = reduce(lambda x, y: x & y, [d[k].eqNullSafe(heads[f"_w_{k}"]) for k in w], d._n == heads._h)
+    d = durable(d.join(heads, on, "left").drop("_h", *[f"_w_{k}" for k in w]), "names")
+    alone = d.where("_head IS NULL").withColumn("_unique", F.col("_n"))
+    group = [*w, "_head"]
+    rest = d.where("_head IS NOT NULL").select(*group, *[c for c in d.columns if c not in group])
+    rest = rest.repartition(*group).sortWithinPartitions(*group, *order)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields) + ", _unique string"
+    named = rest.mapInArrow(lambda b, n=len(group), at=rest.columns.index("_n"): _names(b, n, at), schema)
+    return alone.unionByName(named).drop("_n", "_head").withColumnRenamed("_unique", out)
 
 
 def consolidate(sources: DataFrame, label: str = "source_folder") -> DataFrame:

@@ -49,10 +49,10 @@ def _pieces(spans: DataFrame, shard_ms: int) -> DataFrame:
 
 
 def _levels(spans: DataFrame, shard_ms: int) -> tuple[DataFrame, DataFrame]:
-    """(pieces merged to one row per entity, shard and start with the largest end; blocks)."""
+    """(pieces merged to one row per entity, shard and start with the largest end; blocks, one for each shard they begin with)."""
     pieces = _pieces(spans, shard_ms)
     local = pieces.where("shard IS NOT NULL").groupBy("entity", "shard", "s").agg(F.max("e").alias("e"))
-    blocks = pieces.where("shard IS NULL").select("entity", "s", "e").distinct()
+    blocks = pieces.where("shard IS NULL").groupBy("entity", "s").agg(F.max("e").alias("e"))
     return local, blocks
 
 

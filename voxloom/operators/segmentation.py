@@ -30,7 +30,8 @@ TRAILING_CONNECTORS = (
 LEADING_CONNECTORS = ("bởi", "cho", "của", "để", "hoặc", "là", "mà", "nên", "nhưng", "rằng", "thì", "và", "vì", "với")
 DIRECTIONS = ("đông", "tây", "nam", "bắc", "việt")
 
-BUCKET_SEC = 30.0
+#: Buckets of time, by size class: a token lies in at most two buckets of the least class that is as long as it.
+BUCKETS_SEC = (*(30.0 * 64.0**k for k in range(7)), float("inf"))
 
 
 def regions(tokens: DataFrame, target: DataFrame, cfg: Segmentation = Segmentation()) -> DataFrame:
@@ -181,17 +182,27 @@ def candidates(words: DataFrame, cfg: Segmentation = Segmentation(), spans: Span
 def neighbours(cands: DataFrame, tokens: DataFrame, cfg: Segmentation = Segmentation()) -> DataFrame:
     """(file_id, region, segment, audio_event_overlap, speaker_overlap, risky_leading, risky_trailing) by one interval join.
 
-    Both sides are spread over buckets of time, so the join is an equi-join on
-    (file, bucket); only tokens within ``boundary_guard_sec`` of a candidate can
-    matter, which also bounds the search for its nearest neighbours.
+    The join is an equi-join on (file, size class, bucket of time): a token is in
+    the buckets of its own class only, so one that lasts for days is two rows
+    too; a candidate looks into its buckets of every class. Only tokens within
+    ``boundary_guard_sec`` of a candidate can matter, which also bounds the
+    search for its nearest neighbours.
     """
     g = cfg.boundary_guard_sec
+    bucket = lambda x, w: F.floor(x / w) if w < float("inf") else F.lit(0).cast("bigint")
     c = cands.select("file_id", "region", "segment", "raw_start", "raw_end", F.col("speaker_id").alias("target"))
-    c = c.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("raw_start") - g) / BUCKET_SEC), F.floor((F.col("raw_end") + g) / BUCKET_SEC))))
+    of_class = lambda k: lambda x: F.struct(F.lit(k).alias("class"), x.alias("bucket"))
+    own = [F.transform(F.sequence(bucket(F.col("raw_start") - g, w), bucket(F.col("raw_end") + g, w)), of_class(k)) for k, w in enumerate(BUCKETS_SEC)]
+    c = c.select("*", F.inline(F.concat(*own)))
     t = tokens.select(F.col("file_id").alias("_f"), F.col("start").alias("a"), F.col("end").alias("b"), "index", K.is_event().alias("event"), K.is_speech().alias("speech"), K.speaker(cfg).alias("who"))
-    first = F.floor(F.col("a") / BUCKET_SEC)
-    t = t.withColumn("_b", F.explode(F.sequence(first, F.floor(F.col("b") / BUCKET_SEC))))
-    j = c.join(t, (F.col("file_id") == F.col("_f")) & (F.col("bucket") == F.col("_b")) & (F.col("a") <= F.col("raw_end") + g) & (F.col("b") >= F.col("raw_start") - g))
+    kind_of = F.lit(0)
+    for w in BUCKETS_SEC[:-1]:
+        kind_of = kind_of + (F.col("b") - F.col("a") > w).cast("int")
+    ends = F.lit(None).cast("array<bigint>")
+    for k, w in enumerate(BUCKETS_SEC):
+        ends = F.when(F.col("_c") == k, F.array_distinct(F.array(bucket(F.col("a"), w), bucket(F.col("b"), w)))).otherwise(ends)
+    t = t.withColumn("_c", kind_of).withColumn("_b", F.explode(ends))
+    j = c.join(t, (F.col("file_id") == F.col("_f")) & (F.col("class") == F.col("_c")) & (F.col("bucket") == F.col("_b")) & (F.col("a") <= F.col("raw_end") + g) & (F.col("b") >= F.col("raw_start") - g))
     other = F.col("speech") & ~F.col("who").eqNullSafe(F.col("target"))
     inside = (F.col("a") < F.col("raw_end")) & (F.col("b") > F.col("raw_start"))
     at = F.struct("a", "b", "index")
