@@ -277,37 +277,28 @@ def _goes_on(x: list[str], y: list[str]) -> bool:
     return left == 1 and rest >= 1 and y[on].startswith(x[-1]) and (rest > 1 or y[on] != x[-1])
 
 
-def _align(a: str, b: str) -> bool:
-    """Whether text ``a`` (words) ends early in its near-copy ``b``: all of it lies in ``b``, and ``b`` goes on."""
-    x, y = a.split(" "), b.split(" ")
-    sx, sy = _shingles(x), _shingles(y)
-    return len(sx & sy) >= SIMILAR * len(sx | sy) - 1e-9 and _goes_on(x, y)
-
-
 class _Bucket:
     """The texts of one bucket, or of one part of a large one, against which unfinished texts are checked."""
 
     def __init__(self) -> None:
-        self.texts: list[tuple[str, list[int]]] = []
+        self.texts: list[str] = []
         self.split: dict[int, tuple[list[str], set[str]]] = {}
 
-    def add(self, text: str, bands_: list[int]) -> None:
-        self.texts.append((" " + text, bands_))
+    def add(self, text: str) -> None:
+        self.texts.append(" " + text)
 
-    def ends_early(self, text: str, bands_: list[int], band: int) -> bool:
-        """Whether ``text`` ends early in any text here; near-copies that met in an earlier band were checked there."""
+    def ends_early(self, text: str, band: int) -> bool:
+        """Whether ``text`` ends early in any text here."""
         contained = band == BANDS
         last = " " + text[text.rfind(" ") + 1 :]
         x: list[str] = []
         sx: set[str] = set()
-        for i, (y, other) in enumerate(self.texts):
+        for i, y in enumerate(self.texts):
             # its last word must go on there, or stand before the end
             if not 0 <= y.find(last) < len(y) - len(last):
                 continue
             if contained and len(y) > len(text) + 1 and y.startswith(text, 1):
                 return True
-            if not contained and any(bands_[k] == other[k] for k in range(band)):
-                continue
             if not x:
                 x = text.split(" ")
                 sx = _shingles(x)
@@ -328,23 +319,22 @@ class _Bucket:
 
 
 def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
-    """(k1, k2, near) of distinct unfinished texts of table 0 that end early in a verified text of either table: in a near-copy, or one that contains them.
+    """(k1, near) of distinct unfinished texts of table 0 that end early in a verified text of either table: in a near-copy, or one that contains them.
 
     Within a bucket each unfinished text is checked against all texts, until one
     shows it cut. Pairs are never rows: a bucket of more than ``part_chars``
     characters is dealt into parts, and its unfinished texts visit every part.
     """
-    # the condition keeps both uses of these rows alike, so that they are shuffled once
-    distinct = texts.where("k1 IS NOT NULL AND k2 IS NOT NULL").groupBy("k1", "k2").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
+    # the texts are told apart by 64 bits here; the same columns and condition let one shuffle of them serve all three uses
+    distinct = texts.where("k1 IS NOT NULL").groupBy("k1").agg(F.first("bands").alias("bands"), F.first("words").alias("words"), F.max((F.col("tbl") == 0) & (F.col("closing") != "closed")).alias("asked"))
     # slim rows: the band in the lowest bits of the bucket; no bucket is gathered, its texts are counted in parts
     bucket = F.shiftleft("bucket", 3).bitwiseOR(F.col("band").cast("bigint"))
-    members = distinct.select("k1", "k2", "asked", F.length("words").alias("n"), F.posexplode("bands").alias("band", "bucket")).where(f"band < {BANDS} OR bucket <> 0").select("k1", "k2", "asked", "n", bucket.alias("bucket"))
+    members = distinct.select("k1", "asked", F.length("words").alias("n"), F.posexplode("bands").alias("band", "bucket")).where(f"band < {BANDS} OR bucket <> 0").select("k1", "asked", "n", bucket.alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("asked").alias("any"), F.ceil(F.sum("n") / part_chars).alias("parts")).where("size > 1 AND any").select("bucket", "parts")
-    # all columns are asked for here too, so that the texts are shuffled once for all three uses
-    m = members.where("n > 0 AND asked IS NOT NULL").select("k1", "k2", "bucket").join(crowded, "bucket").join(distinct, ["k1", "k2"])
-    own = F.pmod("k2", "parts")
+    m = members.where("n > 0 AND asked IS NOT NULL").select("k1", "bucket").join(crowded, "bucket").join(distinct.where("size(bands) > 0"), "k1")
+    own = F.pmod("k1", "parts")
     m = m.withColumn("own", own).withColumn("part", F.explode(F.when(F.col("asked"), F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).otherwise(F.array("own"))))
-    m = m.select("bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "k2", "words", "bands")
+    m = m.select("bucket", "part", (F.col("part") == F.col("own")).alias("held"), "asked", "k1", "words")
     # of a part the texts it holds come first, then the unfinished ones that visit it
     m = m.repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.desc("held"))
 
@@ -352,23 +342,23 @@ def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
         now, here, waiting, early = None, _Bucket(), [], []
 
         def settle() -> None:
-            early.extend((k1, k2, now[0] & 7 < BANDS) for k1, k2, text, bands_ in waiting if here.ends_early(text, bands_, now[0] & 7))
+            early.extend((k, now[0] & 7 < BANDS) for k, text in waiting if here.ends_early(text, now[0] & 7))
             waiting.clear()
 
         def out() -> pa.RecordBatch:
-            k1, k2, near = zip(*early)
+            k, near = zip(*early)
             early.clear()
-            return pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(near)], names=["k1", "k2", "near"])
+            return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(near)], names=["k1", "near"])
 
         for b in batches:
-            for key, part, held, asked, k1, k2, text, bands_ in zip(*(c.to_pylist() for c in b.columns)):
+            for key, part, held, asked, k, text in zip(*(c.to_pylist() for c in b.columns)):
                 if now != (key, part):
                     settle()
                     now, here = (key, part), _Bucket()
                 if held:
-                    here.add(text, bands_)
+                    here.add(text)
                 if asked:
-                    waiting.append((k1, k2, text, bands_))
+                    waiting.append((k, text))
                     if not held and len(waiting) > 1000:
                         settle()
             if len(early) > 10_000:
@@ -377,7 +367,7 @@ def early_ends(texts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
         if early:
             yield out()
 
-    return m.mapInArrow(run, "k1 bigint, k2 bigint, near boolean").groupBy("k1", "k2").agg(F.max("near").alias("near"))
+    return m.mapInArrow(run, "k1 bigint, near boolean").groupBy("k1").agg(F.max("near").alias("near"))
 
 
 def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame | None = None, copy_text: str = "text") -> DataFrame:
@@ -405,18 +395,18 @@ def judge(texts: DataFrame, id_: str, text: str, source: str, copies: DataFrame
     # short calls pile up at a few lengths too: they are judged by their last word alone
     asked = asked.withColumn("at_limit", (F.col("_c").isNotNull() | F.col("_b").isNotNull()) & (F.col("n_words") > CALL_WORDS)).drop("_s", "_c", "_t", "_b")
 
-    asked = asked.join(early_ends(rows), ["k1", "k2"], "left")
+    asked = asked.join(early_ends(rows), "k1", "left")
 
     # records that are this text as a whole, and records that end so without a mark
     open_ = asked.where("closing = 'open' AND NOT at_limit AND near IS NULL")
-    whole = open_.groupBy("k1", "k2").agg(F.count_distinct("id").alias("n_whole"))
+    whole = open_.groupBy("k1").agg(F.count_distinct("id").alias("n_whole"))
     ends = open_.groupBy("w1", "w2").agg(F.count_distinct("id").alias("n_end"))
     marks = own.where(F.col("n_words") > CALL_WORDS).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     marks = marks.join(open_.where(F.col("n_words") > CALL_WORDS).groupBy(F.col("source").alias("_s")).agg(F.count(F.lit(1)).alias("m")), F.col("source").eqNullSafe(F.col("_s")), "left")
     marks = marks.select(F.col("source").alias("_s"), (F.coalesce("m", F.lit(0)) < MARKED * F.col("n")).alias("marked"))
     two = _model(counts, ["w1", "w2"]).join(ends, ["w1", "w2"], "full").fillna(0, ["n_open", "n_closed", "n_longer", "n_end"])
     one = _model(counts.select("w2", "n_open", "n_closed"), ["w2"]).select("w2", F.col("n_open").alias("o1"), F.col("n_closed").alias("c1"), F.col("n_longer").alias("l1"))
-    asked = asked.join(two, ["w1", "w2"], "left").join(one, ["w2"], "left").join(whole, ["k1", "k2"], "left").join(marks, F.col("source").eqNullSafe(F.col("_s")), "left")
+    asked = asked.join(whole, "k1", "left").join(two, ["w1", "w2"], "left").join(one, ["w2"], "left").join(marks, F.col("source").eqNullSafe(F.col("_s")), "left")
     asked = asked.fillna(0, ["n_open", "n_closed", "n_longer", "n_end", "o1", "c1", "l1", "n_whole"]).fillna(False, ["marked"])
     seen = F.col("n_open") + F.col("n_closed") + F.col("n_longer")
     # closing words hardly seen together: the last word alone, which may be no word at all
