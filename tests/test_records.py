@@ -12,7 +12,7 @@ from voxloom.functions import text as T
 from voxloom.operators import dataset, gate, signal, spans
 from voxloom.plans import pipeline
 from voxloom.settings import Cleaning, Gate, Settings, Spans
-from voxloom.sources import files, models
+from voxloom.sources import files, folders, models
 from voxloom.streaming import gate as streaming
 
 
@@ -260,3 +260,61 @@ def test_batches(spark):
     r = spark.createDataFrame([("a", "succeeded", 1.5), ("b", "failed", None), ("c", "skipped", 2.0)], "file_id string, status string, duration_seconds double")
     assert tuple(pipeline.batch_totals(r).first()) == (3, 1, 1, 1, 3.5)
     assert json.loads(dataset.manifest_lines(spark.createDataFrame([("1", "p", "t", None)], "id string, audio_path string, cleaned_text string, duration double")).first().line) == {"id": "1", "audio_filepath": "p", "text": "t", "duration": None}
+
+
+def tone(seconds, rate=16000, level=3000):
+    buf = io.BytesIO()
+    with wave.open(buf, "wb") as w:
+        w.setparams((1, 2, rate, 0, "NONE", ""))
+        t = np.arange(int(seconds * rate))
+        w.writeframes((np.sin(t * 0.05) * level).astype("<i2").tobytes())
+    return buf.getvalue()
+
+
+def test_merge_of_numbered_folders(spark, tmp_path):
+    for i in (1, 2):
+        (tmp_path / f"mc{i}_stt" / "wavs").mkdir(parents=True)
+        (tmp_path / f"mc{i}_stt" / "metadata.csv").write_text("\ufeff000001.wav|xin | chào \n\n", "utf-8")
+        (tmp_path / f"mc{i}_stt" / "wavs" / "000001.wav").write_bytes(tone(0.1))
+    out = tmp_path / "out"
+    m = folders.merge_numbered(spark, str(tmp_path), 1, 2, str(out))
+    assert m == folders.Merged(2, 2, 2) and len(list((out / "wavs").iterdir())) == 2
+    assert (out / "metadata.csv").read_text("utf-8") == "mc1_stt_000001.wav|xin | chào \nmc2_stt_000001.wav|xin | chào \n"
+    with pytest.raises(FileExistsError):
+        folders.merge_numbered(spark, str(tmp_path), 1, 2, str(out))
+    assert folders.merge_numbered(spark, str(tmp_path), 2, 2, str(out), force=True).row_count == 1
+    for bad, kind in (((0, 2, "x"), ValueError), ((1, 3, "x"), ValueError), ((1, 2, "mc1_stt/wavs"), ValueError)):
+        with pytest.raises(kind):
+            folders.merge_numbered(spark, str(tmp_path), bad[0], bad[1], str(tmp_path / bad[2]), force=True)
+    (tmp_path / "mc1_stt" / "wavs" / "000001.wav").unlink()
+    with pytest.raises(FileNotFoundError):
+        folders.merge_numbered(spark, str(tmp_path), 1, 2, str(tmp_path / "y"))
+    with pytest.raises(ValueError, match="twice"):
+        folders.check_sources([str(out), str(out) + "/."], ())
+    assert folders.complete_summary(str(out)) is None
+    rows = spark.createDataFrame([("000001.wav", str(tmp_path / "mc2_stt"))], "audio_path string, source_dir string")
+    assert folders.resolve_audio(rows).first().found == str(tmp_path / "mc2_stt" / "wavs" / "000001.wav")
+
+
+def test_devices():
+    assert models.resolve_device("auto", lambda: False) == "cpu" and models.resolve_device("cuda", lambda: True) == "cuda"
+    assert models.resolve_compute_type("float16", "cpu") == "int8" and models.resolve_compute_type("float16", "cuda") == "float16"
+    assert models.backend_name(" Local ") == "local"
+    with pytest.raises(ValueError):
+        models.backend_name("other")
+    assert models.with_fallback(lambda d, c: (d, c) if d == "cpu" else 1 / 0, "cuda", "float16") == ("cpu", "int8")
+
+
+def test_recordings_end_to_end(spark, tmp_path):
+    said = "hôm nay bà cụ đi chợ mua rau về nhà nấu cơm.".split()
+    words = [("r.wav", k * 11 + i, w, k * 8.0 + i * 0.6, k * 8.0 + i * 0.6 + 0.55, "word", "s0", -0.1) for k in range(3) for i, w in enumerate(said)]
+    df = spark.createDataFrame(words, "file_id string, index int, text string, start double, end double, type string, speaker_id string, logprob double")
+    audio = spark.createDataFrame([("r.wav", bytearray(tone(30)))], "file_id string, content binary")
+    cfg = Settings().with_("audio_quality", max_spectral_flatness=1.0, review_spectral_flatness=1.0, min_rms_dbfs=-90.0, review_min_rms_dbfs=-90.0)
+    s = pipeline.run_recordings(df, audio, str(tmp_path), cfg)
+    assert s["total_accepted"] == 3 and 15 < s["total_duration_seconds"] < 24
+    assert spark.read.text(str(tmp_path / "quality" / "good.jsonl")).count() == 3
+    cut = files.cut_wavs(audio, spark.createDataFrame([("r.wav", "a", 1.0, 2.0), ("r.wav", "b", 29.5, 31.0)], "file_id string, id string, start double, end double"))
+    assert files.check_cuts(cut.withColumn("expected", F.lit(1.02))).where("id = 'a'").count() == 1
+    with pytest.raises(Exception, match="not as long"):
+        files.check_cuts(cut.withColumn("expected", F.lit(1.5))).collect()

@@ -178,8 +178,8 @@ def consolidation_report(d: DataFrame, label: str = "source_folder") -> DataFram
     return d.rollup(label).agg(F.count(F.lit(1)).alias("row_count"), (F.coalesce(F.sum(F.round(F.col("duration") * 1000).cast("bigint")), F.lit(0)) / 1000).alias("duration_seconds"))
 
 
-def parse_metadata(lines: DataFrame, line: str = "line") -> DataFrame:
-    """(name, text) of ``file|text`` lines, split at the first bar; text is kept as it is.
+def parse_metadata(lines: DataFrame, line: str = "line", keep: list[str] | None = None) -> DataFrame:
+    """(keep..., name, text) of ``file|text`` lines, split at the first bar; text is kept as it is.
 
     A line without a bar, a name that is empty or holds a path, or an empty text is an error.
     """
@@ -187,7 +187,30 @@ def parse_metadata(lines: DataFrame, line: str = "line") -> DataFrame:
     name, text = T.strip(F.get(p, 0)), F.get(p, 1)
     bad = (F.size(p) < 2) | (name == "") | name.rlike(r"[/\\]") | (T.strip(text) == "")
     checked = F.when(F.coalesce(bad, F.lit(True)), F.raise_error(F.concat(F.lit("not a metadata line: "), F.coalesce(line, F.lit("null")))).cast("string")).otherwise(name)
-    return lines.select(checked.alias("name"), text.alias("text"))
+    return lines.select(*(keep or []), checked.alias("name"), text.alias("text"))
+
+
+def merge_metadata(lines: DataFrame) -> DataFrame:
+    """Metadata lines of several sources as one: adds source_name (as written), name (unique, the source in front) and text.
+
+    ``lines``: source, source_no, line_no, line. Rows take their names in order
+    of source_no and line_no; a suffix stands before the extension.
+    """
+    p = parse_metadata(lines, keep=lines.columns).withColumnRenamed("name", "source_name")
+    prefix = F.regexp_replace(F.regexp_replace("source", r"[^\p{L}\p{N}._\-]+", "_"), r"^[._\-]+|[._\-]+$", "")
+    p = p.withColumns({"_stem": F.concat_ws("_", prefix, F.regexp_replace("source_name", r"(?<=.)\.[^.]*$", "")), "_ext": F.regexp_extract("source_name", r"(?<=.)(\.[^.]*)$", 1)})
+    u = unique_names(p, "_stem", ["source_no", "line_no"], "_name", ["_ext"])
+    return u.withColumn("name", F.concat("_name", "_ext")).drop("_stem", "_ext", "_name")
+
+
+def missing_transcripts(manifest: DataFrame, previous: DataFrame, order: str = "line_no") -> DataFrame:
+    """(missing): how many clips no earlier run transcribed."""
+    return resume(manifest, previous, order).agg(F.count_if(~F.col("reused")).alias("missing"))
+
+
+def mean_or_null(value: Column) -> Column:
+    """The mean of the values there are, four decimals; null if there are none."""
+    return F.round(F.avg(T.finite(value)), 4)
 
 
 def missing_files(rows: DataFrame, files: DataFrame) -> DataFrame:

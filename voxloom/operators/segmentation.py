@@ -124,7 +124,7 @@ def segments(features: DataFrame, cfg: Segmentation = Segmentation(), spans: Spa
     Regions follow one another in sorted streams; one region is held at a time.
     """
     lo, hi = spans.min_sec, min(spans.max_sec, cfg.semantic_max_sec)
-    src = features.select("file_id", "region", "pos", "index", "text", "start", "end", "logprob", "selected_speaker", "base_score", "is_final", F.col("right_text").isNull().alias("_last"), (F.size("protections") > 0).alias("_guarded"), "base_reasons", "protections")
+    src = features.select("file_id", "region", "pos", "index", "text", "start", "end", "logprob", "selected_speaker", "base_score", "is_final", F.col("right_text").isNull().alias("_last"), (F.size("protections") > 0).alias("_guarded"), "base_reasons", "protections", "right_text", "gap_after")
     src = src.repartition("file_id", "region").sortWithinPartitions("file_id", "region", "pos")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,6 +158,60 @@ def segments(features: DataFrame, cfg: Segmentation = Segmentation(), spans: Spa
     return src.mapInArrow(run, schema)
 
 
+def boundary_scores(words: DataFrame, cfg: Segmentation = Segmentation(), spans: Spans = Spans()) -> DataFrame:
+    """What was weighed where a segment began: one row per begin and possible end, up to the first overlong sentence end.
+
+    ``words`` comes from :func:`segments`. (file_id, region, start_pos, end_pos,
+    duration, score, is_valid, reasons, left_text, right_text, gap_after).
+    """
+    lo, hi = spans.min_sec, min(spans.max_sec, cfg.semantic_max_sec)
+    src = words.select("file_id", "region", "pos", "segment", "start", "end", "is_final").repartition("file_id", "region").sortWithinPartitions("file_id", "region", "pos")
+
+    def weighed(key: tuple, rows: list[tuple]) -> list[tuple]:
+        out, before = [], None
+        for i, (pos, seg, start, _, _) in enumerate(rows):
+            if seg == before:
+                continue
+            before = seg
+            for end_pos, _, _, end, final in rows[i:]:
+                out.append((*key, pos, end_pos, end - start))
+                if round(end - start, 3) > hi and final:
+                    break
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, types = None, [], None
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            out = weighed(now, held)
+            for at in range(0, len(out), 50_000):
+                cols = list(zip(*out[at : at + 50_000]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["file_id", "region", "start_pos", "end_pos", "d"])
+
+        for b in batches:
+            types = [*(b.schema.field(i).type for i in (0, 1)), pa.int32(), pa.int32(), pa.float64()]
+            for f, r, *row in zip(*(c.to_pylist() for c in b.columns)):
+                if now != (f, r):
+                    if held:
+                        yield from emit()
+                    now, held = (f, r), []
+                held.append(tuple(row))
+        if held:
+            yield from emit()
+
+    pairs = src.mapInArrow(run, f"file_id string, region {src.schema['region'].dataType.simpleString()}, start_pos int, end_pos int, d double")
+    at = words.select("file_id", "region", F.col("pos").alias("end_pos"), F.col("text").alias("left_text"), "right_text", "gap_after", "base_score", "is_final", "base_reasons", "protections", (F.col("is_final") | F.col("_last")).alias("closed"))
+    p = pairs.join(at, ["file_id", "region", "end_pos"])
+    d = F.col("d")
+    preferred, extended, short = d.between(cfg.preferred_min_sec, cfg.preferred_max_sec), (d > cfg.preferred_max_sec) & (d <= hi), (d >= lo) & (d < cfg.preferred_min_sec)
+    middle = (cfg.preferred_min_sec + cfg.preferred_max_sec) / 2
+    length = F.when(preferred, 3.0 + F.greatest(F.lit(0.0), 2.0 - F.abs(d - middle) * 0.35)).when(extended, 1.0).when(short, -1.0).otherwise(0.0)
+    too_short, too_long = (d < lo) & F.lit(not cfg.allow_short_clips), (d > hi) & ~F.col("is_final")
+    more = F.array_compact(F.array(F.when(preferred, "preferred_duration").when(extended, "extended_duration").when(short, "short_duration"), F.when(too_short, "duration_too_short"), F.when(too_long, "duration_too_long")))
+    valid = F.col("closed") & (F.size("protections") == 0) & ~too_short & ~too_long
+    return p.select("file_id", "region", "start_pos", "end_pos", F.round(d, 3).alias("duration"), F.round(F.col("base_score") + length + 1e-9, 3).alias("score"), valid.alias("is_valid"), F.array_sort(F.array_distinct(F.concat("base_reasons", "protections", more))).alias("reasons"), "left_text", "right_text", F.round("gap_after", 3).alias("gap_after"))
+
+
 def candidates(words: DataFrame, cfg: Segmentation = Segmentation(), spans: Spans = Spans()) -> DataFrame:
     """One row per segment: padded and raw times, text, words, mean log-probability, score and reasons of its boundary."""
     lo, hi = spans.min_sec, min(spans.max_sec, cfg.semantic_max_sec)

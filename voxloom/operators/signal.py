@@ -93,7 +93,7 @@ def labels(df: DataFrame, cfg: Signal = Signal(), duration: Column | None = None
 
 def label_report(df: DataFrame) -> DataFrame:
     """(quality_label, n, duration_seconds)."""
-    return df.groupBy("quality_label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.coalesce("duration", F.lit(0.0))), 3).alias("duration_seconds"))
+    return df.groupBy("quality_label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round(F.coalesce("duration", F.lit(0.0)) * 1000).cast("bigint")) / 1000, 3).alias("duration_seconds"))
 
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str, q: tuple[float, ...]) -> DataFrame:
@@ -115,6 +115,6 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, q: tuple[float, ...
 def metric_summary(df: DataFrame, metrics: list[str]) -> DataFrame:
     """(metric, min, avg, p50, p90, p95, max) over the rows that have the metric, six decimals."""
     long = df.unpivot([], metrics, "metric", "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    base = long.groupBy("metric").agg(F.round(F.min("value"), 6).alias("min"), F.round(F.avg("value"), 6).alias("avg"), F.round(F.max("value"), 6).alias("max"))
+    base = long.groupBy("metric").agg(F.round(F.min("value"), 6).alias("min"), F.round(F.sum(F.round(F.col("value") * 1_000_000).cast("decimal(38,0)")).cast("double") / F.count("value") / 1e6, 6).alias("avg"), F.round(F.max("value"), 6).alias("max"))
     pct = nearest_rank(long, ["metric"], "value", (0.5, 0.9, 0.95)).groupBy("metric").agg(*[F.round(F.max(F.when(F.col("q") == x, F.col("value"))), 6).alias(n) for x, n in ((0.5, "p50"), (0.9, "p90"), (0.95, "p95"))])
     return base.join(pct, "metric").select("metric", "min", "avg", "p50", "p90", "p95", "max")

@@ -106,6 +106,17 @@ def split_long(segments: DataFrame, cfg: Spans = Spans()) -> DataFrame:
     return s.select("file_id", start.alias("start"), end.alias("end"), F.when(F.col("n") == 1, F.col("source")).otherwise("vad_split").alias("source"))
 
 
+def numbered(rows: DataFrame, shard_sec: float = SHARD_SEC) -> DataFrame:
+    """Adds ``no``: the row's number in its file in order of start and end, as six digits."""
+    r = rows.withColumn("_shard", F.floor(F.col("start") / shard_sec))
+    per = r.groupBy("file_id", "_shard").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("file_id").orderBy("_shard").rowsBetween(W.unboundedPreceding, -1))
+    per = per.select(F.col("file_id").alias("_f"), F.col("_shard").alias("_s"), F.coalesce(before, F.lit(0)).alias("_off"))
+    r = r.join(per, r.file_id.eqNullSafe(per._f) & (r._shard == per._s))
+    no = F.row_number().over(W.partitionBy("file_id", "_shard").orderBy("start", "end")) + F.col("_off")
+    return r.withColumn("no", F.lpad(no.cast("string"), 6, "0")).drop("_shard", "_f", "_s", "_off")
+
+
 def number(segments: DataFrame, cfg: Spans = Spans(), shard_sec: float = SHARD_SEC) -> DataFrame:
     """Segments of allowed length, numbered per file from 000001 in order of start; times to three decimals.
 
@@ -113,15 +124,10 @@ def number(segments: DataFrame, cfg: Spans = Spans(), shard_sec: float = SHARD_S
     """
     d = F.col("end") - F.col("start")
     kept = segments.where((d >= cfg.min_sec) & (d <= cfg.max_sec))
-    kept = kept.withColumn("_shard", F.floor(F.col("start") / shard_sec))
-    per = kept.groupBy("file_id", "_shard").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(W.partitionBy("file_id").orderBy("_shard").rowsBetween(W.unboundedPreceding, -1))
-    per = per.select(F.col("file_id").alias("_f"), F.col("_shard").alias("_s"), F.coalesce(before, F.lit(0)).alias("_off"))
-    kept = kept.join(per, kept.file_id.eqNullSafe(per._f) & (kept._shard == per._s))
-    no = F.row_number().over(W.partitionBy("file_id", "_shard").orderBy("start", "end")) + F.col("_off")
+    kept = numbered(kept, shard_sec)
     # decimal ties, which halves of chunks often are, go up whatever their binary form
     s, e = F.round(F.col("start") + 1e-9, 3), F.round(F.col("end") + 1e-9, 3)
-    return kept.select("file_id", F.lpad(no.cast("string"), 6, "0").alias("id"), s.alias("start"), e.alias("end"), F.round(F.greatest(F.lit(0.0), e - s), 3).alias("duration"), "source")
+    return kept.select("file_id", F.col("no").alias("id"), s.alias("start"), e.alias("end"), F.round(F.greatest(F.lit(0.0), e - s), 3).alias("duration"), "source")
 
 
 def build(spans: DataFrame, cfg: Spans = Spans()) -> DataFrame:

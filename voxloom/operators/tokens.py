@@ -19,10 +19,12 @@ ORDER = ("start", "end", "index")
 def normalise(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid tokens, counts per file_id of rows read and rows invalid).
 
-    A token is valid if its text is not blank and its times are finite with
+    The text of a token is ``text``, or if that is null or empty ``word``, where
+    there is such a column. A token is valid if its text is not blank and its times are finite with
     end > start; copies of a row count once; times are rounded to milliseconds.
     """
-    r = raw.select("file_id", "index", T.strip(F.coalesce("text", F.lit(""))).alias("text"), "start", "end", F.coalesce("type", F.lit("word")).alias("type"), "speaker_id", T.finite(F.col("logprob")).alias("logprob")).distinct()
+    said = F.coalesce(F.nullif(F.col("text"), F.lit("")), F.col("word") if "word" in raw.columns else F.lit(None), F.lit(""))
+    r = raw.select("file_id", "index", T.strip(said).alias("text"), "start", "end", F.coalesce("type", F.lit("word")).alias("type"), "speaker_id", T.finite(F.col("logprob")).alias("logprob")).distinct()
     ok = (F.col("text") != "") & (F.abs("start") < float("inf")) & ~F.isnan("start") & (F.abs("end") < float("inf")) & ~F.isnan("end") & (F.col("end") > F.col("start"))
     r = r.withColumn("ok", F.coalesce(ok, F.lit(False)))
     counts = r.groupBy("file_id").agg(F.count(F.lit(1)).alias("tokens"), F.count_if(~F.col("ok")).alias("invalid"))

@@ -76,3 +76,45 @@ def batch_totals(results: DataFrame) -> DataFrame:
 
 def label_clips(clips: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     return signal.labels(signal.measure(clips, cfg=cfg.audio_quality), cfg.audio_quality)
+
+
+def route_quality(labelled: DataFrame, folder: str) -> dict[str, int]:
+    """Good, bad and clips for review as three manifests, and the counts of labels and reasons beside them."""
+    n = files.write_routes(labelled, "quality_label", ("good", "bad", "review"), folder)
+    files.write_jsonl(signal.label_report(labelled), f"{folder}/labels.jsonl")
+    files.write_jsonl(gate.histogram(labelled, "quality_reasons"), f"{folder}/reasons.jsonl")
+    return n
+
+
+def route_decisions(decided: DataFrame, folder: str) -> dict:
+    """Accepted and rejected records as two files, and the report."""
+    n = files.write_routes(decided.withColumn("route", F.when(F.col("accepted"), "accepted").otherwise("rejected")), "route", ("accepted", "rejected"), folder)
+    r = files.write_report(gate.report(decided), f"{folder}/report.json")
+    if (n["accepted"], n["rejected"]) != (r["accepted_count"], r["rejected_count"]):
+        raise ValueError("the files and the report differ")
+    return r
+
+
+def inspection_totals(results: DataFrame) -> DataFrame:
+    """One row: recordings inspected, succeeded and failed."""
+    return results.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "succeeded").alias("succeeded"), F.count_if(F.col("status") == "failed").alias("failed"))
+
+
+def run_recordings(words: DataFrame, audio: DataFrame, folder: str, cfg: Settings = Settings()) -> dict:
+    """From the words and the WAV of recordings to a dataset: segments, clips, quality, gate, export.
+
+    ``words`` as for :func:`segment_words`, ``audio`` (file_id, content). Clips
+    are named <recording>_<number in order of start>; those of good quality
+    whose text passes the gate are exported with metadata, manifest and summary.
+    """
+    found = segment_words(words, cfg).candidates.where("size(reject_reasons) = 0")
+    numbered = spans.numbered(found.select("file_id", "start", "end", "text", "speaker_id", "avg_logprob"))
+    seg = durable(numbered.withColumn("id", F.concat_ws("_", files.safe_id(F.col("file_id")), "no")), "segments-of-words")
+    cuts = files.cut_wavs(audio, seg.select("file_id", "id", "start", "end")).join(seg.select("id", "start", "end", "text", "speaker_id", "avg_logprob"), "id")
+    cuts = durable(files.check_cuts(cuts.withColumn("expected", F.col("end") - F.col("start"))), "cuts")
+    cuts = cuts.withColumns({"samples": files.wav_samples("content"), "sample_rate": files.wav_header("content")["rate"], "audio_path": F.concat(F.lit(f"{folder}/wavs/"), "id", F.lit(".wav"))})
+    labelled = durable(label_clips(cuts, cfg).drop("samples"), "labelled")
+    route_quality(labelled.drop("content"), f"{folder}/quality")
+    decided = durable(judge(choose(labelled).drop("content"), cfg), "decided")
+    route_decisions(decided, f"{folder}/gate")
+    return export(decided.where("accepted"), folder)

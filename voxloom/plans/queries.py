@@ -269,6 +269,20 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
     return g.withColumns({"region": F.col("region").cast("bigint"), "segment": F.col("segment").cast("bigint")})
 
 
+_LENGTH = "CASE WHEN d BETWEEN 5 AND 10 THEN 3 + greatest(0, 2 - abs(d - 7.5) * 0.35) WHEN d > 10 AND d <= 15 THEN 1 WHEN d >= 3 AND d < 5 THEN -1 ELSE 0 END"
+_WEIGHED = _WALK + """,
+wv AS (SELECT wk.file_id, wk.region, wk.i, b.pos AS j, b.e - a.s AS d, b.base, b.fin, b.hr, b.op, b.strong, b.medium, b.lo, b.guards, b.text AS left_text, b.right_text FROM wk JOIN fe a ON a.file_id = wk.file_id AND a.region = wk.region AND a.pos = wk.i
+       LEFT JOIN sx ON sx.file_id = wk.file_id AND sx.region = wk.region AND sx.i = wk.i JOIN fe b ON b.file_id = wk.file_id AND b.region = wk.region AND b.pos BETWEEN wk.i AND coalesce(sx.stop, 1000000000))"""
+
+
+@query(f"""WITH RECURSIVE {_WEIGHED.strip()} SELECT file_id, region, CAST(i AS BIGINT) AS start_pos, CAST(j AS BIGINT) AS end_pos, round(d, 3) AS duration, round(base + {_LENGTH} + 1e-9, 3) AS score, (fin OR NOT hr) AND len(guards) = 0 AND d >= 3 AND (d <= 15 OR fin) AS is_valid, left_text, right_text,
+ array_to_string(list_sort(list_concat(guards, list_filter([CASE WHEN fin THEN 'sentence_punctuation' END, CASE WHEN NOT hr THEN 'region_end' END, CASE WHEN hr AND strong THEN 'strong_pause' END, CASE WHEN hr AND NOT strong AND medium THEN 'medium_pause' END, CASE WHEN op AND NOT medium THEN 'no_punctuation_or_pause' END, CASE WHEN op AND lo THEN 'lowercase_continuation' END, CASE WHEN op THEN 'not_sentence_boundary' END,
+  CASE WHEN d BETWEEN 5 AND 10 THEN 'preferred_duration' WHEN d > 10 AND d <= 15 THEN 'extended_duration' WHEN d >= 3 AND d < 5 THEN 'short_duration' END, CASE WHEN d < 3 THEN 'duration_too_short' END, CASE WHEN d > 15 AND NOT fin THEN 'duration_too_long' END], lambda x: x IS NOT NULL))), ',') AS reasons FROM wv""")
+def boundary_scores(spark: SparkSession, sf: str) -> DataFrame:
+    b = segmentation.boundary_scores(_words_in_segments(spark, sf)[1])
+    return b.select("file_id", F.col("region").cast("bigint").alias("region"), F.col("start_pos").cast("bigint").alias("start_pos"), F.col("end_pos").cast("bigint").alias("end_pos"), "duration", "score", "is_valid", "left_text", "right_text", F.array_join("reasons", ",").alias("reasons"))
+
+
 _CANDS = _WALK + """,
 ca AS (SELECT wk.file_id, wk.region, seg, arg_min(s, pos) AS a, arg_max(e, pos) AS b, any_value(selected_speaker) AS target, any_value(wk.score) AS score, count(*) FILTER (regexp_matches(text, '[\\p{L}\\p{N}_]')) AS word_count, floor((2 * sum(CAST(round(logprob * 10000) AS BIGINT)) + count(logprob)) / (2.0 * count(logprob))) / 10000 AS avg_logprob,
        arg_max(fin, pos) AS fin, trim(regexp_replace(regexp_replace(string_agg(text, ' ' ORDER BY pos), '\\s+([,.?!:;])', '\\1', 'g'), '\\s+', ' ', 'g')) AS text FROM wk JOIN fe ON fe.file_id = wk.file_id AND fe.region = wk.region AND fe.pos BETWEEN wk.i AND wk.j GROUP BY 1, 2, 3),
@@ -412,8 +426,7 @@ def quality_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_QM.replace('EXCLUDE (ingested_at)', 'EXCLUDE (ingested_at, quality_label)')}, {_sql_labels('qj')} SELECT label AS quality_label, count(*) AS n, round(sum(CAST(round(coalesce(duration, 0) * 1000) AS BIGINT)) / 1000, 3) AS duration_seconds FROM fin GROUP BY 1")
 def quality_counts(spark: SparkSession, sf: str) -> DataFrame:
-    q = _labelled(spark, sf)
-    return q.groupBy("quality_label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round(F.coalesce("duration", F.lit(0.0)) * 1000).cast("bigint")) / 1000, 3).alias("duration_seconds"))
+    return signal.label_report(_labelled(spark, sf))
 
 
 @query(f"WITH {_QM.replace('EXCLUDE (ingested_at)', 'EXCLUDE (ingested_at, quality_label)')}, {_sql_labels('qj')} SELECT unnest(why) AS reason, count(*) AS n FROM fin GROUP BY 1")
@@ -423,9 +436,9 @@ def quality_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH u AS (UNPIVOT (SELECT """ + ", ".join(signal.METRICS) + """ FROM quality_metrics) ON COLUMNS(*) INTO NAME metric VALUE value),
 v AS (SELECT metric, list_sort(list(value)) AS l, count(*) AS n, sum(CAST(round(value * 1000000) AS HUGEINT)) AS s FROM u WHERE isfinite(value) GROUP BY 1)
-SELECT metric, round(l[1], 6) AS min, round(l[1 + CAST(round_even((n - 1) * 0.5, 0) AS BIGINT)], 6) AS p50, round(l[1 + CAST(round_even((n - 1) * 0.9, 0) AS BIGINT)], 6) AS p90, round(l[1 + CAST(round_even((n - 1) * 0.95, 0) AS BIGINT)], 6) AS p95, round(l[n], 6) AS max FROM v""")
+SELECT metric, round(l[1], 6) AS min, round(l[1 + CAST(round_even((n - 1) * 0.5, 0) AS BIGINT)], 6) AS p50, round(l[1 + CAST(round_even((n - 1) * 0.9, 0) AS BIGINT)], 6) AS p90, round(l[1 + CAST(round_even((n - 1) * 0.95, 0) AS BIGINT)], 6) AS p95, round(l[n], 6) AS max, round(CAST(s AS DOUBLE) / n / 1e6, 6) AS avg FROM v""")
 def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return signal.metric_summary(table(spark, sf, "quality_metrics"), list(signal.METRICS)).drop("avg")
+    return signal.metric_summary(table(spark, sf, "quality_metrics"), list(signal.METRICS))
 
 
 # --- datasets ---------------------------------------------------------------------------------------------------
@@ -497,15 +510,33 @@ def safe_stem(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_QM.replace('EXCLUDE (ingested_at)', 'EXCLUDE (ingested_at, quality_label)')}, {_sql_labels('qj')} SELECT id, label AS quality_label FROM fin WHERE label IN ('good', 'review')")
 def include_review(spark: SparkSession, sf: str) -> DataFrame:
-    q = _labelled(spark, sf).select("id", "quality_label")
-    return q.where("quality_label = 'good'").unionByName(q.where("quality_label = 'review'"))
+    from voxloom.plans import pipeline
 
+    q = _labelled(spark, sf).withColumn("start", F.col("duration"))
+    return pipeline.choose(q, include_review=True).select("id", "quality_label")
 
-@query("SELECT DISTINCT file_id FROM vad_segments WHERE file_id NOT IN (SELECT file_id FROM stt_words WHERE file_id IS NOT NULL)")
+
+@query("SELECT DISTINCT file_id FROM vad_segments WHERE file_id IS NOT NULL AND file_id NOT IN (SELECT file_id FROM raw_transcripts WHERE file_id IS NOT NULL GROUP BY file_id HAVING count(*) >= 20)")
 def skip_done(spark: SparkSession, sf: str) -> DataFrame:
+    """Recordings with less than twenty clips count as not yet done."""
     from voxloom.plans import pipeline
 
-    return pipeline.skip_done(table(spark, sf, "vad_segments").select("file_id").where("file_id IS NOT NULL").distinct(), table(spark, sf, "stt_words"))
+    done = table(spark, sf, "raw_transcripts").groupBy("file_id").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
+    return pipeline.skip_done(table(spark, sf, "vad_segments").select("file_id").where("file_id IS NOT NULL").distinct(), done)
+
+
+_MERGED = """WITH a AS (SELECT DISTINCT id, source_folder, cleaned_text FROM accepted WHERE trim(cleaned_text) <> ''),
+n AS (SELECT *, source_folder || '_' || right(id, 2) AS stem, dense_rank() OVER (ORDER BY source_folder) AS source_no FROM a),
+k AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY source_no, id) AS k FROM n)"""
+
+
+@query(_MERGED + " SELECT right(id, 2) || '.wav' AS source_name, CASE WHEN k = 1 THEN stem ELSE stem || '_' || k END || '.wav' AS name, cleaned_text AS text FROM k")
+def merge_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Every source folder as one metadata file whose file names (two digits) collide."""
+    a = _accepted(spark, sf).where(T.strip(F.col("cleaned_text")) != "")
+    line = F.concat(F.substring("id", -2, 2), F.lit(".wav|"), "cleaned_text")
+    lines = a.select(F.col("source_folder").alias("source"), F.col("source_folder").alias("source_no"), F.col("id").alias("line_no"), line.alias("line"))
+    return dataset.merge_metadata(lines).select("source_name", "name", "text")
 
 
 @query("SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2")

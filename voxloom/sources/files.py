@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import json
 import math
+import os
 import wave
 from collections.abc import Iterator
 from typing import Any
@@ -13,6 +14,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as Ty
 
+from voxloom.functions import text as T
+
+CLIPS = 64  # clips of a file that are sent on together
 AUDIO = ("mp3", "wav", "m4a", "flac")
 
 
@@ -56,9 +60,12 @@ def write_report(df: DataFrame, path: str) -> dict[str, Any]:
     if len(rows) != 1:
         raise ValueError("a report has one row")
     doc = json_safe(rows[0].asDict(True))
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(doc, f, ensure_ascii=False, indent=2)
-        f.write("\n")
+    # written through the file system of the path, wherever that is
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
+    out = where.getFileSystem(conf).create(where, True)
+    out.write((json.dumps(doc, ensure_ascii=False, indent=2) + "\n").encode())
+    out.close()
     return doc
 
 
@@ -123,33 +130,61 @@ def cut_wavs(files: DataFrame, segments: DataFrame) -> DataFrame:
     cannot be read, has null content and flag 'outside' or 'unreadable'.
     """
 
+    # the few numbers of a file's segments travel to the file, once
+    parts = segments.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "id"))).alias("parts"))
+
+    def clips(c: bytes | None, parts: list) -> Iterator[tuple]:
+        try:
+            with wave.open(io.BytesIO(c)) as w:
+                r, n = w.getframerate(), w.getnframes()
+                for s, e, i in parts:
+                    a, z = round(s * r), round(e * r)
+                    flag, z = "clamped" if z > n else None, min(z, n)
+                    if a >= z or a < 0:
+                        yield i, None, None, "outside"
+                        continue
+                    w.setpos(a)
+                    buf = io.BytesIO()
+                    with wave.open(buf, "wb") as o:
+                        o.setparams(w.getparams())
+                        o.writeframes(w.readframes(z - a))
+                    yield i, buf.getvalue(), round((z - a) / r, 3), flag
+        except (wave.Error, EOFError, TypeError):
+            yield from ((i, None, None, "unreadable") for _, _, i in parts)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for f, c, i, s, e in zip(b["file_id"], b["content"], b["id"], b["start"], b["end"]):
-                try:
-                    with wave.open(io.BytesIO(c)) as w:
-                        r, n = w.getframerate(), w.getnframes()
-                        a, z = round(s * r), round(e * r)
-                        flag = "clamped" if z > n else None
-                        z = min(z, n)
-                        if a >= z or a < 0:
-                            out.append((f, i, None, None, "outside"))
-                            continue
-                        w.setpos(a)
-                        data = w.readframes(z - a)
-                        buf = io.BytesIO()
-                        with wave.open(buf, "wb") as o:
-                            o.setparams(w.getparams())
-                            o.writeframes(data)
-                        out.append((f, i, buf.getvalue(), round((z - a) / r, 3), flag))
-                except (wave.Error, EOFError, TypeError):
-                    out.append((f, i, None, None, "unreadable"))
-            yield pd.DataFrame(out, columns=["file_id", "id", "content", "duration", "flag"])
-
-    joined = segments.select("file_id", "id", "start", "end").join(files.select("file_id", "content"), "file_id")
+            for f, c, p in zip(b["file_id"], b["content"], b["parts"]):
+                out = []
+                for x in clips(c, [tuple(y.values()) if isinstance(y, dict) else tuple(y) for y in p]):
+                    out.append((f, *x))
+                    if len(out) == CLIPS:
+                        yield pd.DataFrame(out, columns=["file_id", "id", "content", "duration", "flag"])
+                        out = []
+                yield pd.DataFrame(out, columns=["file_id", "id", "content", "duration", "flag"])
+
+    joined = files.select("file_id", "content").join(parts, "file_id")
     return joined.mapInPandas(run, "file_id string, id string, content binary, duration double, flag string")
 
 
-def frames(seconds: Column, rate: Column) -> Column:
-    return F.bround(seconds * rate).cast("bigint")
+def safe_id(file_id: Column) -> Column:
+    """A recording's name as the beginning of its clips' names."""
+    return T.safe_stem(file_id)
+
+
+def check_cuts(cuts: DataFrame, expected: str = "expected", tolerance: float = 0.05) -> DataFrame:
+    """The rows unchanged; an error for a clip that is missing, empty, or not as long as ``expected`` within ``tolerance`` seconds."""
+    ok = (F.col("duration") > 0) & (F.abs(F.col("duration") - F.col(expected)) <= tolerance + 1e-9)
+    said = F.concat(F.lit("a cut clip is not as long as its segment: "), F.coalesce("id", F.lit("null")))
+    return cuts.withColumn("duration", F.when(F.coalesce(ok, F.lit(False)), F.col("duration")).otherwise(F.raise_error(said).cast("double")))
+
+
+def write_routes(df: DataFrame, by: str, routes: tuple[str, ...], folder: str) -> dict[str, int]:
+    """JSON lines of each value of ``by`` to ``folder/<value>.jsonl``; returns the rows of each, none may be left over."""
+    from voxloom.runtime import durable
+
+    d = durable(df, "routes")
+    n = {r: write_jsonl(d.where(F.col(by) == r).drop(by), f"{folder}/{r}.jsonl") for r in routes}
+    if sum(n.values()) != d.count():
+        raise ValueError(f"rows of {by} beyond {routes}")
+    return n

@@ -54,6 +54,35 @@ class EchoTranscriber:
         return {"text": f"clip {len(audio)}", "language": "vi", "avg_logprob": -0.1, "no_speech_prob": 0.0}
 
 
+def backend_name(name: str | None, known: tuple[str, ...] = ("local", "remote")) -> str:
+    """A backend's name in one spelling; an error for one that is not known."""
+    x = (name or known[0]).strip().lower().replace("-", "_").replace(" ", "_")
+    if x not in known:
+        raise ValueError(f"unknown backend {name!r}")
+    return x
+
+
+def resolve_device(wanted: str, has_gpu: Callable[[], bool]) -> str:
+    """'cuda' or 'cpu': 'auto', and 'cuda' where there is none, ask the machine the worker runs on."""
+    wanted = (wanted or "auto").strip().lower()
+    return ("cuda" if has_gpu() else "cpu") if wanted in ("auto", "cuda") else wanted
+
+
+def resolve_compute_type(wanted: str, device: str) -> str:
+    """Half precision is for accelerators: on a CPU it becomes int8."""
+    return "int8" if device == "cpu" and (wanted or "").lower() in ("float16", "bfloat16") else wanted
+
+
+def with_fallback(load: Callable[[str, str], Any], device: str, compute_type: str) -> Any:
+    """load(device, compute type); if an accelerator fails, on the CPU."""
+    try:
+        return load(device, resolve_compute_type(compute_type, device))
+    except Exception:
+        if device == "cpu":
+            raise
+        return load("cpu", resolve_compute_type(compute_type, "cpu"))
+
+
 def retried(f: Callable[[Any], Any], x: Any, waits: tuple[float, ...] = (1.0, 2.0)) -> Any:
     """f(x), tried again after each wait; the last error is raised."""
     for w in (*waits, None):
