@@ -40,7 +40,8 @@ def budgets(placed: DataFrame, targets: DataFrame, fraction: float = 1.0) -> Dat
     have = placed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
     b = t.join(have, "source")
     all_ = W.partitionBy(F.lit(1))  # one row per target source
-    b = b.withColumn("share", F.col("target_share") / F.sum("target_share").over(all_))
+    # summed as decimals: the same whatever the order of rows
+    b = b.withColumn("share", F.col("target_share") / F.sum(F.col("target_share").cast("decimal(30,15)")).over(all_).cast("double"))
     b = b.withColumn("total", F.floor(F.min(F.col("tokens") * F.col("max_repeats") / F.col("share")).over(all_) * fraction))
     b = b.withColumn("budget", F.least(F.floor(F.col("total") * F.col("share") + 1e-6), F.col("tokens") * F.col("max_repeats")))
     return b.withColumn("whole", F.floor(F.col("budget") / F.col("tokens")).cast("int")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
